@@ -53,8 +53,9 @@ def text_or_content(text: Column, content: Column) -> Column:
 
 
 def strip_markers(text: Column) -> Column:
-    """Remove literal ``<s>`` and ``</s>``."""
-    return F.regexp_replace(text, "<s>|</s>", "")
+    """Remove literal ``<s>`` and ``</s>`` in one pass; texts without them skip the regex."""
+    marked = F.contains(text, F.lit("<s>")) | F.contains(text, F.lit("</s>"))
+    return F.when(marked, F.regexp_replace(text, "<s>|</s>", "")).otherwise(text)
 
 
 def strip_all(text: Column, stops: Sequence[str]) -> Column:

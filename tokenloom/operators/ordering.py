@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def ordered_bucket(df: DataFrame, key: str) -> Column:
     """
     shares = [i / (COARSE_SPLITS - 1) for i in range(COARSE_SPLITS)]
     found = df.select(F.expr(f"percentile_approx(`{key}`, array({', '.join(map(str, shares))}), 10000)")).first()[0]
-    borders = F.expr(f"array({', '.join(f'{b}L' for b in sorted(set(found or [0])))})")
+    borders = F.lit(np.array(sorted(set(found or [0])), dtype=np.int64))
     value = F.col(key)
     coarse = F.size(F.filter(borders, lambda b: b <= value))
     low = F.get(borders, coarse - 1)
@@ -66,9 +67,15 @@ def running_offset(
     )
 
 
-def rank_by_id(df: DataFrame, key: str, out: str = "rank", shard: Sequence[str] = ()) -> DataFrame:
-    """Zero-based position in id order, per shard."""
-    return running_offset(df, F.lit(1), ordered_bucket(df, key), [F.col(key)], out, shard)
+def rank_by_id(
+    df: DataFrame, key: str, out: str = "rank", shard: Sequence[str] = (), ids: DataFrame | None = None
+) -> DataFrame:
+    """Zero-based position in id order, per shard.
+
+    ``ids`` may be any table with about the same ids: buckets are placed with it,
+    so that an expensive ``df`` is not computed just for its id column.
+    """
+    return running_offset(df, F.lit(1), ordered_bucket(ids or df, key), [F.col(key)], out, shard)
 
 
 def rank_by_hash(
@@ -80,10 +87,15 @@ def rank_by_hash(
 
 
 def offset_by_id(
-    df: DataFrame, value: Column, key: str, out: str = "start", shard: Sequence[str] = ()
+    df: DataFrame,
+    value: Column,
+    key: str,
+    out: str = "start",
+    shard: Sequence[str] = (),
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over the rows before this one in id order, per shard."""
-    return running_offset(df, value, ordered_bucket(df, key), [F.col(key)], out, shard)
+    return running_offset(df, value, ordered_bucket(ids or df, key), [F.col(key)], out, shard)
 
 
 def row_total(df: DataFrame) -> Column:

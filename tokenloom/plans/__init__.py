@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tokenloom.plans.catalog import ORACLES, QUERIES
 
-MODULES = ("corpus",)
+MODULES = ("corpus", "loader")
 
 
 def _load() -> None:

@@ -35,10 +35,7 @@ def sql_uniform(seed: str | int, key: str) -> str:
 
 def sql_bytes(text: str) -> str:
     """List of the UTF-8 byte values of a text."""
-    return (
-        f"list_transform(range(1, 1 + 2 * strlen({text}), 2), "
-        f"lambda i: ('0x' || substr(hex(encode({text})), i, 2))::INT)"
-    )
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::INT)"
 
 
 def sql_tokens(text: str, bos: int = 256, eos: int = 257) -> str:

@@ -338,7 +338,7 @@ def project_text_or_content(spark, sf_dir):
 
 @register(
     "strip_special_markers",
-    "SELECT page_id, replace(replace(html, '<s>', ''), '</s>', '') AS text FROM pages",
+    "SELECT page_id, regexp_replace(html, '<s>|</s>', '', 'g') AS text FROM pages",
 )
 def strip_special_markers(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tx.strip_markers(F.col("html")).alias("text"))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tokenloom.plans.catalog import ORACLES, QUERIES
 
-MODULES = ("corpus", "loader")
+MODULES = ("corpus", "loader", "vocabulary")
 
 
 def _load() -> None:

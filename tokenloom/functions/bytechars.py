@@ -19,16 +19,16 @@ def byte_chars() -> list[str]:
 
 _SHOWN = byte_chars()
 _MOVED = [b for b in range(256) if _SHOWN[b] != chr(b)]
-_FROM = "".join(chr(b) for b in _MOVED)
-_TO = "".join(_SHOWN[b] for b in _MOVED)
+MOVED_FROM = "".join(chr(b) for b in _MOVED)
+MOVED_TO = "".join(_SHOWN[b] for b in _MOVED)
 
 
 def to_byte_chars(text: Column) -> Column:
     """One printable character per UTF-8 byte, without leaving the JVM."""
-    return F.translate(F.decode(text.cast("binary"), "ISO-8859-1"), _FROM, _TO)
+    return F.translate(F.decode(text.cast("binary"), "ISO-8859-1"), MOVED_FROM, MOVED_TO)
 
 
 def from_byte_chars(shown: Column) -> Column:
     """Back to text; bytes that are not valid UTF-8 become U+FFFD."""
-    raw = F.encode(F.translate(shown, _TO, _FROM), "ISO-8859-1")
+    raw = F.encode(F.translate(shown, MOVED_TO, MOVED_FROM), "ISO-8859-1")
     return F.make_valid_utf8(raw.cast("string"))

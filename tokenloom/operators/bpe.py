@@ -42,15 +42,13 @@ def initial_symbols(word: Column, alphabet: Sequence[str] | None = None) -> Colu
 
 
 def symbol_array(symbols: Column) -> Column:
-    return F.split(F.substring(symbols, F.lit(2), F.length(symbols) - 2), MARK + MARK)
+    return F.split(F.btrim(symbols, F.lit(MARK)), MARK + MARK)
 
 
 def _pairs(words: DataFrame, *keep: str) -> DataFrame:
-    parts = words.select(*keep, symbol_array(F.col("symbols")).alias("s")).filter(F.size("s") > 1)
-    pairs = F.transform(
-        F.slice("s", 1, F.size("s") - 1),
-        lambda x, i: F.struct(x.alias("left"), F.get(F.col("s"), i + 1).alias("right")),
-    )
+    parts = words.select(*keep, symbol_array(F.col("symbols")).alias("s"))
+    n = F.size("s") - 1
+    pairs = F.arrays_zip(F.slice("s", F.lit(1), n).alias("left"), F.slice("s", F.lit(2), n).alias("right"))
     return parts.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.left", "p.right")
 
 
@@ -120,8 +118,10 @@ def train_merges(
     merge that is certain to come next, so there are far fewer passes than merges.
     The word table is checkpointed to the shared folder now and then.
     """
-    ensure_checkpoint_dir(words.sparkSession)
-    state = words.select("symbols", "cnt").checkpoint()
+    spark = words.sparkSession
+    ensure_checkpoint_dir(spark)
+    # a fixed number of partitions: the table is small in bytes but every pass is CPU work
+    state = words.select("symbols", "cnt").repartition(spark.sparkContext.defaultParallelism).checkpoint()
     merges: list[Merge] = []
     existing: set[str] = set()
     passes = 0
@@ -262,7 +262,11 @@ def recover_merges(vocab: DataFrame, ranks: dict[str, int]) -> DataFrame:
             long = pdf[pdf["piece"].str.len() > 1]
             pairs = [split(p, r) for p, r in zip(long["piece"], long["rank"])]
             yield pd.DataFrame(
-                {"rank": long["rank"].to_numpy(), "left": [p[0] for p in pairs], "right": [p[1] for p in pairs]}
+                {
+                    "rank": long["rank"].to_numpy(),
+                    "left": pd.Series([p[0] for p in pairs], dtype=object),
+                    "right": pd.Series([p[1] for p in pairs], dtype=object),
+                }
             )
 
     return vocab.select("piece", F.col("rank").cast("int")).mapInPandas(run, "rank int, left string, right string")

@@ -22,16 +22,17 @@ FINE_BUCKETS = (COARSE_SPLITS + 1) * FINE_PER_SPLIT
 
 
 def ordered_bucket(df: DataFrame, key: str) -> Column:
-    """Bucket number (below ``FINE_BUCKETS``) that never decreases with the integer ``key``.
+    """Bucket number (below ``FINE_BUCKETS``) that never decreases with the numeric ``key``.
 
-    Approximate quantiles place the coarse borders, so clustered or sparse ids
-    still fill the buckets evenly; between two borders the id is interpolated.
+    Approximate quantiles place the coarse borders, so clustered or sparse keys
+    still fill the buckets evenly; between two borders the key is interpolated.
     One pass over the key column fetches the 255 borders to the driver; as
     literals they are the same in every branch of the plan and in every retry.
     """
-    shares = [i / (COARSE_SPLITS - 1) for i in range(COARSE_SPLITS)]
-    found = df.select(F.expr(f"percentile_approx(`{key}`, array({', '.join(map(str, shares))}), 10000)")).first()[0]
-    borders = F.lit(np.array(sorted(set(found or [0])), dtype=np.int64))
+    shares = ", ".join(str(i / (COARSE_SPLITS - 1)) for i in range(COARSE_SPLITS))
+    found = df.select(F.expr(f"percentile_approx(`{key}`, array({shares}), 10000)")).first()[0]
+    kind = np.float64 if df.schema[key].dataType.typeName() in ("double", "float") else np.int64
+    borders = F.lit(np.array(sorted(set(found or [0])), dtype=kind))
     value = F.col(key)
     coarse = F.size(F.filter(borders, lambda b: b <= value))
     low = F.get(borders, coarse - 1)
@@ -41,32 +42,63 @@ def ordered_bucket(df: DataFrame, key: str) -> Column:
     return (coarse * FINE_PER_SPLIT + fine).cast("int")
 
 
-def running_offset(
+_COMBINE = {
+    "sum": (F.sum, lambda base, inside: F.coalesce(base, F.lit(0)) + F.coalesce(inside, F.lit(0))),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+}
+
+
+def running(
     df: DataFrame,
     value: Column,
     bucket: Column,
     order: Sequence[Column],
     out: str,
     shard: Sequence[str] = (),
+    how: str = "sum",
 ) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over all earlier rows of the shard.
+    """Add ``out`` = sum, min or max of ``value`` over all earlier rows of the shard.
 
     ``bucket`` must follow ``order``.  The base table and the rows are joined on
     the keys the window needs, so both share one exchange.
     """
+    aggregate, combine = _COMBINE[how]
     keys = [*shard, "_bucket"]
-    work = df.withColumn("_bucket", bucket).withColumn("_value", value.cast("bigint"))
-    totals = work.groupBy(*keys).agg(F.sum("_value").alias("_total"))
+    work = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    totals = work.groupBy(*keys).agg(aggregate("_value").alias("_total"))
     before = Window.partitionBy(*shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    bases = totals.select(*keys, aggregate("_total").over(before).alias("_base"))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         work.join(bases, keys)
-        .withColumn(out, F.col("_base") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .withColumn(out, combine(F.col("_base"), aggregate("_value").over(inside)))
         .drop("_bucket", "_value", "_base")
     )
 
 
+def running_offset(
+    df: DataFrame, value: Column, bucket: Column, order: Sequence[Column], out: str, shard: Sequence[str] = ()
+) -> DataFrame:
+    """Sum of ``value`` over all earlier rows of the shard (0 for the first one)."""
+    return running(df, value.cast("bigint"), bucket, order, out, shard)
+
+
+def running_min(df: DataFrame, value: Column, key: str, out: str, shard: Sequence[str] = ()) -> DataFrame:
+    """Smallest earlier value in key order; null for the first row."""
+    return running(df, value, ordered_bucket(df, key), [F.col(key)], out, shard, "min")
+
+
+def previous_row(df: DataFrame, value: Column, key: str, out: str, shard: Sequence[str] = ()) -> DataFrame:
+    """Value of the row before this one in key order.
+
+    A running maximum of (key, value): it needs no task that holds a whole shard.
+    """
+    pair = F.struct(F.col(key).alias("k"), value.alias("v"))
+    found = running(df, pair, ordered_bucket(df, key), [F.col(key)], "_prev", shard, "max")
+    return found.withColumn(out, F.col("_prev.v")).drop("_prev")
+
+
 def rank_by_id(
     df: DataFrame, key: str, out: str = "rank", shard: Sequence[str] = (), ids: DataFrame | None = None
 ) -> DataFrame:

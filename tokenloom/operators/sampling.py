@@ -53,7 +53,7 @@ def categorical_draw(probs: DataFrame, row: str, item: str, p: str, seed: str |
     total = F.sum(p).over(Window.partitionBy(row))
     hit = probs.withColumn("_upto", upto).withColumn("_total", total)
     target = md5_uniform(seed, F.col(row)) * F.col("_total")
-    place = F.when(F.col("_upto") > target, F.struct(F.lit(0).alias("late"), F.col("_upto"), F.col(item)))
+    place = F.when(F.col("_upto") > target, F.struct(F.lit(0).alias("late"), F.col("_upto").alias("key"), F.col(item)))
     # rounding can leave the target at the very end: then the last item is drawn
-    last = F.struct(F.lit(1).alias("late"), -F.col("_upto"), F.col(item))
+    last = F.struct(F.lit(1).alias("late"), (-F.col("_upto")).alias("key"), F.col(item))
     return hit.groupBy(row).agg(F.min(F.coalesce(place, last))[item].alias(item))

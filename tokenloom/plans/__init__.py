@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tokenloom.plans.catalog import ORACLES, QUERIES
 
-MODULES = ("corpus", "loader", "vocabulary")
+MODULES = ("corpus", "loader", "vocabulary", "analytics", "streams")
 
 
 def _load() -> None:

@@ -19,7 +19,7 @@ from tokenloom.plans.corpus import documents
 from tokenloom.session import scratch_path
 from tokenloom.sources import readers, writers
 
-N_MERGES = 120
+N_MERGES = 64
 WHITE = tx.WHITE
 
 # The pre-token pattern for an engine without look-ahead.  A mark is put before the
@@ -98,9 +98,6 @@ def _sql_byte_char(b: str) -> str:
     return f"CASE WHEN {plain} THEN chr(CAST({b} AS INT)) ELSE chr(CAST(255 + list_position({moved}, {b}) AS INT)) END"
 
 
-_BYTE_AT = "('0x' || substr(h, CAST(2 * i + 1 AS INT), 2))::INT"
-
-
 @register(
     "byte_unicode_map",
     f"""WITH b AS (SELECT ('0x' || unnest(regexp_extract_all(hex(encode(text)), '..')))::INT AS byte FROM documents)
@@ -109,9 +106,7 @@ _BYTE_AT = "('0x' || substr(h, CAST(2 * i + 1 AS INT), 2))::INT"
 def byte_unicode_map(spark, sf_dir):
     """Printable character of every byte the corpus uses, and how often it occurs."""
     shown = vb.char_counts(texts(spark, sf_dir).select(bc.to_byte_chars(F.col("text")).alias("text")), F.col("text"))
-    byte = F.ascii(F.encode(F.translate("ch", bc._TO, bc._FROM), "UTF-16BE").substr(2, 1))
-    code = F.conv(F.hex(F.encode(F.translate("ch", bc._TO, bc._FROM), "ISO-8859-1")), 16, 10).cast("int")
-    del byte
+    code = F.conv(F.hex(F.encode(F.translate("ch", bc.MOVED_TO, bc.MOVED_FROM), "ISO-8859-1")), 16, 10).cast("int")
     return shown.select(code.alias("byte"), F.col("ch").alias("shown"), F.col("cnt").alias("n"))
 
 

@@ -30,5 +30,7 @@ def to_byte_chars(text: Column) -> Column:
 
 def from_byte_chars(shown: Column) -> Column:
     """Back to text; bytes that are not valid UTF-8 become U+FFFD."""
-    raw = F.encode(F.translate(shown, MOVED_TO, MOVED_FROM), "ISO-8859-1")
+    # translate would delete a character that maps to NUL, so that one is replaced by itself
+    latin = F.replace(F.translate(shown, MOVED_TO[1:], MOVED_FROM[1:]), F.lit(MOVED_TO[0]), F.lit(MOVED_FROM[0]))
+    raw = F.encode(latin, "ISO-8859-1")
     return F.make_valid_utf8(raw.cast("string"))

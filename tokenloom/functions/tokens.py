@@ -131,7 +131,7 @@ def split_by_end_token(tokens: Column, end: int) -> Column:
     flattening the pieces gives the window back."""
 
     def pieces(t: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: F.element_at(t, i) == end)
+        ends = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: F.try_element_at(t, i) == end)
         stops = F.array_distinct(F.concat(ends, F.array(F.size(t))))
         return let(
             stops,
@@ -174,8 +174,8 @@ def fill_in_middle(
     """
 
     def rewrite(t: Column) -> Column:
-        has_bos = F.element_at(t, 1) == bos
-        has_eos = F.element_at(t, -1) == eos
+        has_bos = F.try_element_at(t, F.lit(1)) == bos
+        has_eos = F.try_element_at(t, F.lit(-1)) == eos
         head = F.when(has_bos, F.slice(t, 1, 1)).otherwise(F.array().cast("array<int>"))
         tail = F.when(has_eos, F.slice(t, -1, 1)).otherwise(F.array().cast("array<int>"))
         body = slice_from(t, has_bos.cast("int"), F.size(t) - has_bos.cast("int") - has_eos.cast("int"))

@@ -47,7 +47,7 @@ def metric_entries(df: DataFrame, step: str, prefix: str = "evals/") -> DataFram
 
 def snapshot_step(path: Column) -> Column:
     """Last number in a folder name."""
-    return F.element_at(F.regexp_extract_all(path, F.lit("[0-9]+"), F.lit(0)), -1).cast("bigint")
+    return F.try_element_at(F.regexp_extract_all(path, F.lit("[0-9]+"), F.lit(0)), F.lit(-1)).cast("bigint")
 
 
 def snapshot_kind(path: Column) -> Column:

@@ -41,12 +41,12 @@ def stream_jsonl_resumable(spark, sf_dir):
 
 @register("stream_pack_tokens", f"WITH {STREAM_SQL} SELECT * FROM full_windows")
 def stream_pack_tokens(spark, sf_dir):
-    """Documents arrive in four files in id order; windows run on across micro-batches."""
+    """Documents arrive in three parts in id order; windows run on across micro-batches."""
     base = scratch_path(spark, "stream-pack")
-    ordered = rank_by_id(clean_documents(spark, sf_dir), "doc_id", "rn", ids=documents(spark, sf_dir, "doc_id"))
-    quarter = F.floor(F.col("rn") * 4 / documents(spark, sf_dir).agg(F.count(F.lit(1))).scalar())
-    staged = ordered.withColumn("part", quarter.cast("int")).drop("rn")
-    staged.write.partitionBy("part").parquet(f"{base}/staged")
+    ids = documents(spark, sf_dir, "doc_id")
+    ordered = rank_by_id(clean_documents(spark, sf_dir), "doc_id", "rn", ids=ids)
+    third = F.floor(F.col("rn") * 3 / ids.agg(F.count(F.lit(1))).scalar())
+    ordered.withColumn("part", third.cast("int")).drop("rn").write.partitionBy("part").parquet(f"{base}/staged")
     stream_dir = f"{base}/in"
     step = jobs.pack_step(
         "doc_id",
@@ -58,11 +58,10 @@ def stream_pack_tokens(spark, sf_dir):
         f"{base}/out",
         f"{base}/state",
     )
-    for part in range(4):
-        # the next file of the stream arrives, then the query goes on from its checkpoint
-        rows = spark.read.parquet(f"{base}/staged/part={part}")
-        rows.coalesce(1).write.mode("append").parquet(stream_dir)
-        jobs.run_batches(jobs.stream_table(spark, stream_dir, "*.parquet", 1), step, f"{base}/checkpoint")
+    for part in range(3):
+        # the next part of the stream arrives, then the query goes on from its checkpoint
+        spark.read.parquet(f"{base}/staged/part={part}").write.mode("append").parquet(stream_dir)
+        jobs.run_batches(jobs.stream_table(spark, stream_dir, "*.parquet"), step, f"{base}/checkpoint")
     w = F.col("window")
     return spark.read.parquet(f"{base}/out").select(
         "shard",
@@ -133,7 +132,6 @@ def stream_mixture(spark, sf_dir):
     ranked.select("draw_id", third.alias("part")).write.partitionBy("part").parquet(f"{base}/staged")
     step = jobs.mixture_step("draw_id", WEIGHTS, SEED, f"{base}/out", f"{base}/state")
     for part in range(3):
-        rows = spark.read.parquet(f"{base}/staged/part={part}")
-        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        jobs.run_batches(jobs.stream_table(spark, f"{base}/in", "*.parquet", 1), step, f"{base}/checkpoint")
+        spark.read.parquet(f"{base}/staged/part={part}").write.mode("append").parquet(f"{base}/in")
+        jobs.run_batches(jobs.stream_table(spark, f"{base}/in", "*.parquet"), step, f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").select("draw_id", "source", "ordinal")

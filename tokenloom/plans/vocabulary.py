@@ -106,8 +106,8 @@ def _sql_byte_char(b: str) -> str:
 def byte_unicode_map(spark, sf_dir):
     """Printable character of every byte the corpus uses, and how often it occurs."""
     shown = vb.char_counts(texts(spark, sf_dir).select(bc.to_byte_chars(F.col("text")).alias("text")), F.col("text"))
-    code = F.conv(F.hex(F.encode(F.translate("ch", bc.MOVED_TO, bc.MOVED_FROM), "ISO-8859-1")), 16, 10).cast("int")
-    return shown.select(code.alias("byte"), F.col("ch").alias("shown"), F.col("cnt").alias("n"))
+    place = F.array_position(F.array(*[F.lit(c) for c in bc.byte_chars()]), F.col("ch")) - 1
+    return shown.select(place.cast("int").alias("byte"), F.col("ch").alias("shown"), F.col("cnt").alias("n"))
 
 
 @register(

@@ -35,9 +35,12 @@ def stream_jsonl(spark: SparkSession, path: str, schema: str, files_per_trigger:
     return reader.json(path)
 
 
-def stream_table(spark: SparkSession, folder: str, pattern: str, files_per_trigger: int = 1) -> DataFrame:
+def stream_table(spark: SparkSession, folder: str, pattern: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files as a stream; without a limit a micro-batch takes all that have arrived."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.option("pathGlobFilter", pattern).parquet(folder)
 
 

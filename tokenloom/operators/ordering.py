@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenloom.functions.arrays import let
 from tokenloom.functions.hashing import md5_bucket, md5_uniform
 
 COARSE_SPLITS = 255
@@ -32,21 +33,24 @@ def ordered_bucket(df: DataFrame, key: str) -> Column:
     shares = ", ".join(str(i / (COARSE_SPLITS - 1)) for i in range(COARSE_SPLITS))
     found = df.select(F.expr(f"percentile_approx(`{key}`, array({shares}), 10000)")).first()[0]
     kind = np.float64 if df.schema[key].dataType.typeName() in ("double", "float") else np.int64
-    borders = F.lit(np.array(sorted(set(found or [0])), dtype=kind))
-    value = F.col(key)
-    coarse = F.size(F.filter(borders, lambda b: b <= value))
-    low = F.get(borders, coarse - 1)
-    high = F.get(borders, coarse)
-    inside = F.floor((value - low).cast("double") * FINE_PER_SPLIT / (high - low).cast("double"))
-    fine = F.coalesce(F.least(inside, F.lit(FINE_PER_SPLIT - 1)), F.lit(0))
-    return (coarse * FINE_PER_SPLIT + fine).cast("int")
+    borders = np.array(sorted(set(found or [0])), dtype=kind)
+    every, value = F.lit(borders), F.col(key)
 
+    def passed(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= value))
 
-_COMBINE = {
-    "sum": (F.sum, lambda base, inside: F.coalesce(base, F.lit(0)) + F.coalesce(inside, F.lit(0))),
-    "min": (F.min, F.least),
-    "max": (F.max, F.greatest),
-}
+    def fine(coarse: Column) -> Column:
+        low, high = F.get(every, coarse - 1), F.get(every, coarse)
+        inside = F.floor((value - low).cast("double") * FINE_PER_SPLIT / (high - low).cast("double"))
+        return coarse * FINE_PER_SPLIT + F.coalesce(F.least(inside, F.lit(FINE_PER_SPLIT - 1)), F.lit(0))
+
+    # every 16th border first, then the 15 between two of those
+    block = passed(F.lit(borders[15::16])) if len(borders) > 15 else F.lit(0)
+    coarse = let(block, lambda g: g * 16 + passed(F.slice(every, g * 16 + 1, F.lit(15))))
+    return let(coarse, fine).cast("int")
+
+
+_AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def running(
@@ -60,28 +64,27 @@ def running(
 ) -> DataFrame:
     """Add ``out`` = sum, min or max of ``value`` over all earlier rows of the shard.
 
-    ``bucket`` must follow ``order``.  The base table and the rows are joined on
-    the keys the window needs, so both share one exchange.
+    ``bucket`` must follow ``order``.  What came before a bucket enters its window
+    as an opening row, so the rows are exchanged once and joined with nothing.
     """
-    aggregate, combine = _COMBINE[how]
+    aggregate = _AGGREGATES[how]
     keys = [*shard, "_bucket"]
     work = df.withColumn("_bucket", bucket).withColumn("_value", value)
     totals = work.groupBy(*keys).agg(aggregate("_value").alias("_total"))
     before = Window.partitionBy(*shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, aggregate("_total").over(before).alias("_base"))
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        work.join(bases, keys)
-        .withColumn(out, combine(F.col("_base"), aggregate("_value").over(inside)))
-        .drop("_bucket", "_value", "_base")
-    )
+    opening = totals.select(*keys, aggregate("_total").over(before).alias("_value"), F.lit(0).alias("_row"))
+    rows = work.withColumn("_row", F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys).orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn(out, aggregate("_value").over(inside)).filter("_row = 1")
+    return found.drop("_bucket", "_value", "_row")
 
 
 def running_offset(
     df: DataFrame, value: Column, bucket: Column, order: Sequence[Column], out: str, shard: Sequence[str] = ()
 ) -> DataFrame:
     """Sum of ``value`` over all earlier rows of the shard (0 for the first one)."""
-    return running(df, value.cast("bigint"), bucket, order, out, shard)
+    sums = running(df, value.cast("bigint"), bucket, order, out, shard)
+    return sums.withColumn(out, F.coalesce(out, F.lit(0).cast("bigint")))
 
 
 def running_min(df: DataFrame, value: Column, key: str, out: str, shard: Sequence[str] = ()) -> DataFrame:
@@ -130,6 +133,15 @@ def offset_by_id(
     return running_offset(df, value, ordered_bucket(ids or df, key), [F.col(key)], out, shard)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a scan with fewer splits than cores before CPU-heavy work on its rows.
+
+    A large table has many splits and passes unchanged, without an exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def row_total(df: DataFrame) -> Column:
     """Row count as a scalar subquery, computed inside the same query."""
     return df.agg(F.count(F.lit(1))).scalar()

@@ -14,7 +14,7 @@ from tokenloom.operators import profiling as pf
 from tokenloom.operators import runs as rn
 from tokenloom.operators import sampling as sp
 from tokenloom.plans.catalog import register, sql_bytes, sql_uniform, table
-from tokenloom.plans.corpus import SEED, documents, metric_rows
+from tokenloom.plans.corpus import SEED, documents, heavy_documents, metric_rows
 
 V = "list_transform(embedding, lambda x: x::DOUBLE)"
 
@@ -50,7 +50,7 @@ GOLD_SQL = f"SELECT vec_id, {V} AS v, CASE WHEN vec_id % 5 = 0 THEN -100 ELSE la
 
 def byte_scores(spark: SparkSession, sf_dir: str) -> tuple[dict[int, float], int]:
     """Log frequency of each byte value, and the most frequent byte (at most 256 rows)."""
-    bytes_ = documents(spark, sf_dir, "text").select(F.explode(tk.text_bytes(F.col("text"))).alias("b"))
+    bytes_ = heavy_documents(spark, sf_dir, "text").select(F.explode(tk.text_bytes(F.col("text"))).alias("b"))
     counts = bytes_.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     rows = counts.select("b", "n", F.log(F.col("n") / total).alias("ll")).collect()
@@ -60,7 +60,7 @@ def byte_scores(spark: SparkSession, sf_dir: str) -> tuple[dict[int, float], int
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_, top = byte_scores(spark, sf_dir)
-    docs = documents(spark, sf_dir, "doc_id", "lang", "source", "text").withColumn("b", tk.text_bytes(F.col("text")))
+    docs = heavy_documents(spark, sf_dir, "doc_id", "lang", "source", "text").withColumn("b", tk.text_bytes(F.col("text")))
     return docs.select(
         "doc_id",
         F.concat_ws("/", "lang", "source").alias("path"),

@@ -44,6 +44,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return docs.select(*columns) if columns else docs
 
 
+def heavy_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for CPU-heavy work: a scan with few splits is spread over the cores."""
+    return od.spread(documents(spark, sf_dir, *columns))
+
+
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turn and the assistant turn after it; (conversation, turn) is unique, so no key is hot."""
     talk = table(spark, sf_dir, "conversations")
@@ -229,7 +234,7 @@ def sink_text_shards(spark, sf_dir):
 
 
 def _sampled_sentences(spark, sf_dir) -> DataFrame:
-    kept = cp.explode_sentences(documents(spark, sf_dir, "doc_id", "text")).filter(
+    kept = cp.explode_sentences(heavy_documents(spark, sf_dir, "doc_id", "text")).filter(
         tx.is_long_enough(F.col("sentence"))
     )
     return sp.bernoulli_sample(kept, SEED, F.col("doc_id"), F.col("sent_no"), percentage=20)
@@ -365,13 +370,13 @@ def filter_pair_token_length(spark, sf_dir):
         WHERE {WORDS} >= 5 AND NOT contains(sentence, chr(10))""",
 )
 def filter_short_sentences(spark, sf_dir):
-    rows = cp.explode_sentences(documents(spark, sf_dir, "doc_id", "text"))
+    rows = cp.explode_sentences(heavy_documents(spark, sf_dir, "doc_id", "text"))
     return rows.filter(tx.is_long_enough(F.col("sentence"))).withColumn("n_words", tx.word_count(F.col("sentence")))
 
 
 @register("split_sentences", f"SELECT doc_id, CAST(sent_no AS INT) AS sent_no, sentence FROM ({SENTENCES})")
 def split_sentences(spark, sf_dir):
-    return cp.explode_sentences(documents(spark, sf_dir, "doc_id", "text"))
+    return cp.explode_sentences(heavy_documents(spark, sf_dir, "doc_id", "text"))
 
 
 @register("filter_max_sentence_bytes", "SELECT doc_id, CAST(strlen(text) AS INT) AS n_bytes FROM documents WHERE strlen(text) <= 2000")

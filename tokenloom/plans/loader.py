@@ -14,7 +14,7 @@ from tokenloom.operators import mixture as mx
 from tokenloom.operators import ordering as od
 from tokenloom.operators import packing as pk
 from tokenloom.plans.catalog import register, sql_bytes, sql_checksum, sql_tokens, sql_uniform, table
-from tokenloom.plans.corpus import BLANK, PAIRS_SQL, SEED, documents, turn_pairs
+from tokenloom.plans.corpus import BLANK, PAIRS_SQL, SEED, documents, heavy_documents, turn_pairs
 
 SEQ_LEN, N_VIEWS, SHARDS = 128, 2, 4
 WINDOW = SEQ_LEN + N_VIEWS - 1
@@ -36,7 +36,7 @@ full_windows AS (SELECT shard, window_id, CAST(count(*) AS INT) AS n_tokens, CAS
 
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-blank documents without the special markers."""
-    kept = cp.keep_nonblank(documents(spark, sf_dir, "doc_id", "text"))
+    kept = cp.keep_nonblank(heavy_documents(spark, sf_dir, "doc_id", "text"))
     return kept.select(
         "doc_id",
         (F.col("doc_id") % SHARDS).cast("int").alias("shard"),
@@ -65,13 +65,13 @@ def packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, {sql_tokens('text')} AS t FROM documents)""",
 )
 def byte_tokenize(spark, sf_dir):
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", tk.byte_tokens(F.col("text")).alias("t"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", tk.byte_tokens(F.col("text")).alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), checksum(F.col("t")).alias("check_sum"))
 
 
 @register("byte_detokenize", "SELECT doc_id, text FROM documents")
 def byte_detokenize(spark, sf_dir):
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", tk.byte_tokens(F.col("text")).alias("t"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", tk.byte_tokens(F.col("text")).alias("t"))
     return rows.select("doc_id", tk.byte_text(F.col("t")).alias("text"))
 
 
@@ -95,7 +95,7 @@ def add_bos_eos(spark, sf_dir):
 def token_offsets(spark, sf_dir):
     """Character offset of every byte token."""
     at = tk.byte_offsets(F.col("text"))
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", at.alias("o"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", at.alias("o"))
     return rows.select("doc_id", F.size("o").alias("n_tokens"), array_sum(F.col("o")).alias("offset_sum"))
 
 
@@ -106,7 +106,7 @@ def token_offsets(spark, sf_dir):
 )
 def split_long_text(spark, sf_dir):
     parts = tk.split_long_text(F.col("text"), 1000)
-    return documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.posexplode(parts).alias("slice_no", "part"))
+    return heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.posexplode(parts).alias("slice_no", "part"))
 
 
 # ---- mixture and shards ----------------------------------------------------------
@@ -276,7 +276,7 @@ def _sql_fim(rate: float) -> str:
 def fill_in_middle(spark, sf_dir):
     """Document mode: before packing, half of the documents rewritten."""
     ids = tk.fill_in_middle(tk.byte_tokens(F.col("text")), [F.col("doc_id")], SEED, 0.5)
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("t"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), checksum(F.col("t")).alias("check_sum"))
 
 
@@ -401,7 +401,7 @@ def batch_by_token_budget(spark, sf_dir):
 )
 def truncate_keep_tail(spark, sf_dir):
     tail = tk.keep_tail(tk.byte_tokens(F.col("text")), F.lit(512))
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", tail.alias("t"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", tail.alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), checksum(F.col("t")).alias("check_sum"))
 
 

@@ -15,7 +15,8 @@ from tokenloom.operators import unigram
 from tokenloom.operators import vocab as vb
 from tokenloom.operators.registry import build_tokenizer
 from tokenloom.plans.catalog import register, sql_checksum, table
-from tokenloom.plans.corpus import documents
+from tokenloom.operators.ordering import spread
+from tokenloom.plans.corpus import documents, heavy_documents
 from tokenloom.session import scratch_path
 from tokenloom.sources import readers, writers
 
@@ -54,7 +55,7 @@ def space_words(df: DataFrame) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir, "text")
+    return heavy_documents(spark, sf_dir, "text")
 
 
 _TRAINED: dict[tuple, list] = {}
@@ -79,7 +80,7 @@ def byte_merges(spark: SparkSession, sf_dir: str) -> list:
         FROM (SELECT doc_id, {sql_pretokens('text')} AS p FROM documents)""",
 )
 def pretokenize(spark, sf_dir):
-    return documents(spark, sf_dir, "doc_id", "text").select(
+    return heavy_documents(spark, sf_dir, "doc_id", "text").select(
         "doc_id", F.posexplode(tx.pretokens(F.col("text"))).alias("pos", "token")
     )
 
@@ -116,7 +117,7 @@ def byte_unicode_map(spark, sf_dir):
         FROM documents""",
 )
 def normalize_for_vocab(spark, sf_dir):
-    return documents(spark, sf_dir, "doc_id", "text").select(
+    return heavy_documents(spark, sf_dir, "doc_id", "text").select(
         "doc_id", tx.normalize_for_vocab(F.col("text")).alias("text")
     )
 
@@ -136,7 +137,7 @@ _SPECIAL_SQL = "|".join(SPECIALS)
 )
 def split_special_tokens(spark, sf_dir):
     tokens = tx.split_specials(F.col("html"), SPECIALS)
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(tokens).alias("pos", "token"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", F.posexplode(tokens).alias("pos", "token"))
 
 
 # ---- alphabets and frequency vocabularies --------------------------------------------
@@ -220,12 +221,12 @@ def _summary(df: DataFrame) -> DataFrame:
 @register("bpe_encode")
 def bpe_encode(spark, sf_dir):
     ids = bpe.encode_text(spark, F.col("text"), byte_merges(spark, sf_dir))
-    return _summary(documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("ids")))
+    return _summary(heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("ids")))
 
 
 @register("tokenize_by_distinct_word")
 def tokenize_by_distinct_word(spark, sf_dir):
-    docs = documents(spark, sf_dir, "doc_id", "text")
+    docs = heavy_documents(spark, sf_dir, "doc_id", "text")
     return _summary(bpe.encode_by_join(docs, "doc_id", tx.pretokens(F.col("text")), byte_merges(spark, sf_dir)))
 
 
@@ -234,7 +235,7 @@ def bpe_detokenize(spark, sf_dir):
     """Encode, then decode: the text comes back."""
     merges = byte_merges(spark, sf_dir)
     ids = bpe.encode_text(spark, F.col("text"), merges)
-    rows = documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("ids"))
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("ids"))
     return rows.select("doc_id", bpe.decode_ids(spark, F.col("ids"), merges).alias("text"))
 
 
@@ -242,7 +243,7 @@ def bpe_detokenize(spark, sf_dir):
 def encode_show_work(spark, sf_dir):
     work = bpe.show_work_udtf(byte_merges(spark, sf_dir), SPECIALS)
     spark.udtf.register("show_work", work)
-    pages = table(spark, sf_dir, "pages").select("page_id", tx.split_specials(F.col("html"), SPECIALS).alias("tokens"))
+    pages = spread(table(spark, sf_dir, "pages")).select("page_id", tx.split_specials(F.col("html"), SPECIALS).alias("tokens"))
     return pages.lateralJoin(work(F.col("tokens").outer())).select(
         "page_id",
         "n",
@@ -313,7 +314,7 @@ def piece_id_lookup(spark, sf_dir):
 
 
 def _sides(spark, sf_dir, lang: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "lang", "text").filter(F.col("lang") == lang)
+    docs = heavy_documents(spark, sf_dir, "lang", "text").filter(F.col("lang") == lang)
     return vb.word_counts(docs, F.split(tx.normalize_for_vocab(F.col("text"), dummy_prefix=False), tx.SPACE_MARK)).select(
         F.concat(F.lit(tx.SPACE_MARK), "word").alias("piece")
     )
@@ -411,7 +412,7 @@ SYMBOL_RUNS = "</?[a-z0-9_]+>|[0-9]+|\\n+|\\t|\\[@BOS@\\]"
 )
 def symbols_table(spark, sf_dir):
     """The symbol inventory with the number of times each symbol stands in the pages."""
-    runs = table(spark, sf_dir, "pages").select(
+    runs = spread(table(spark, sf_dir, "pages")).select(
         F.explode(F.regexp_extract_all("html", F.lit(SYMBOL_RUNS), F.lit(0))).alias("symbol")
     )
     used = runs.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))

@@ -133,13 +133,13 @@ def offset_by_id(
     return running_offset(df, value, ordered_bucket(ids or df, key), [F.col(key)], out, shard)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
     """Even out a scan with fewer splits than cores before CPU-heavy work on its rows.
 
     A large table has many splits and passes unchanged, without an exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
 def row_total(df: DataFrame) -> Column:

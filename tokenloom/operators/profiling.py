@@ -27,7 +27,8 @@ def exact_quantiles(df: DataFrame, name: str, value: str, shares: Sequence[float
     sizes = df.groupBy(name).agg(F.count(F.lit(1)).alias("_size"))
     placed = running_offset(counts, F.col("_n"), ordered_bucket(df, value), [F.col(value)], "_start", [name])
     wanted = F.array(*[F.lit(float(q)) for q in shares])
-    ranked = placed.join(sizes, name).withColumn(
+    # one row per profiled name: the columns or tensors, not the data
+    ranked = placed.join(F.broadcast(sizes), name).withColumn(
         "_hits",
         F.filter(
             F.transform(

@@ -69,11 +69,8 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_parquet_by_language(spark, sf_dir):
     """One folder per language on disk, read back with the language taken from the path."""
     base = scratch_path(spark, "by-language")
-    # the folder names are plain values, the way the corpus is laid out
-    docs = documents(spark, sf_dir, "doc_id", "lang", "text")
-    for lang in LANGS:
-        docs.filter(F.col("lang") == lang).drop("lang").write.parquet(f"{base}/{lang}/part")
-    return readers.read_languages(spark, base, LANGS).select("doc_id", "lang", "text")
+    documents(spark, sf_dir, "doc_id", "lang", "text").write.partitionBy("lang").parquet(base)
+    return readers.read_languages(spark, base, LANGS, folder="lang={}").select("doc_id", "lang", "text")
 
 
 @register("scan_docs_text_key", "SELECT text FROM documents")

@@ -4,26 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.operators.ordering import slice_rows
+from tokenloom.operators.ordering import rank_by_id, slice_rows
 
 TEXT_SCHEMA = "text string, content string"
 PAIR_SCHEMA = "en string, fr string"
 METRIC_SCHEMA = "global_step bigint, run bigint, kind string, `loss/out` double, `speed/k` bigint, created_at string"
 
 
-def read_languages(spark: SparkSession, base: str, languages: Sequence[str]) -> DataFrame:
-    """Parquet files below ``base/<language>``, tagged with the language of their path."""
-    paths = [f"{base.rstrip('/')}/{lang}" for lang in languages]
+def read_languages(spark: SparkSession, base: str, languages: Sequence[str], folder: str = "{}") -> DataFrame:
+    """Parquet files below one folder per language, tagged with the language of their path."""
+    paths = [f"{base.rstrip('/')}/{folder.format(lang)}" for lang in languages]
     found = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(*paths)
     )
-    names = "|".join(languages)
-    lang = F.regexp_extract(F.col("_metadata.file_path"), f".*/({names})/", 1)
-    return found.withColumn("lang", lang)
+    named = folder.format(f"({'|'.join(languages)})")
+    return found.withColumn("lang", F.regexp_extract(F.col("_metadata.file_path"), f".*/{named}/", 1))
 
 
 def read_documents(spark: SparkSession, path: str, text_key: str = "text") -> DataFrame:
@@ -139,11 +138,6 @@ def slice_cached(
 
 def validation_rows(df: DataFrame, source: str, key: str, max_steps: int | None) -> DataFrame:
     """One pass over every validation source, at most ``max_steps`` rows of each."""
-    from tokenloom.operators.ordering import rank_by_id
-
     ranked = rank_by_id(df, key, "step", [source]).withColumn("current_iter", F.lit(0))
     return ranked if max_steps is None else ranked.filter(F.col("step") < max_steps)
 
-
-def file_language(path: Column, languages: Sequence[str]) -> Column:
-    return F.regexp_extract(path, f".*/({'|'.join(languages)})/", 1)

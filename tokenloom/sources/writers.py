@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import global_shuffle, rank_by_id
+from tokenloom.operators.ordering import global_shuffle, rank_by_id, spread
 
 
 def write_text_shards(
@@ -39,8 +39,11 @@ def write_line_counts(counts: DataFrame, path: str, group: str = "lang", count:
 
 
 def write_jsonl(df: DataFrame, path: str, tasks: int = 64) -> None:
-    """Uncompressed JSON lines in ``tasks`` evenly filled files."""
-    df.repartition(tasks).write.mode("overwrite").option("compression", "none").json(path)
+    """Uncompressed JSON lines, written by at least ``tasks`` tasks.
+
+    Only a scan with fewer splits is exchanged; a large one is written as it is read.
+    """
+    spread(df, tasks).write.mode("overwrite").option("compression", "none").json(path)
 
 
 def round_robin_chunks(df: DataFrame, key: str, seed: str | int, n_chunks: int) -> DataFrame:

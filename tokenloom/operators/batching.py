@@ -13,31 +13,38 @@ from tokenloom.operators.ordering import rank_by_hash, rank_by_id, row_total
 
 
 def block_shuffle(
-    df: DataFrame, index: str, batch_size: int, prefetch: int, seed: str | int, shard: Sequence[str] = ()
+    df: DataFrame,
+    index: str,
+    batch_size: int,
+    prefetch: int,
+    seed: str | int,
+    shard: Sequence[str] = (),
+    drop_incomplete: bool = True,
 ) -> DataFrame:
     """Shuffle inside blocks of ``prefetch * batch_size`` consecutive sequences and cut batches.
 
-    A window group is one block, bounded by the two parameters.
+    A window group is one block, bounded by the two parameters.  A finite table's
+    last block may be short; its unfilled batch is dropped unless asked for, which
+    the same window decides.
     """
     block_rows = batch_size * prefetch
     blocks = df.withColumn("block", F.floor(F.col(index) / block_rows).cast("bigint"))
     keys = [F.col(c) for c in shard]
-    order = Window.partitionBy(*shard, "block").orderBy(md5_uniform(seed, *keys, F.col(index)), F.col(index))
-    rn = F.row_number().over(order) - 1
+    group = Window.partitionBy(*shard, "block")
+    order = group.orderBy(md5_uniform(seed, *keys, F.col(index)), F.col(index))
+    placed = blocks.withColumn("_rn", F.row_number().over(order) - 1).withColumn(
+        "_no", F.floor(F.col("_rn") / batch_size)
+    )
+    if drop_incomplete:
+        placed = placed.withColumn("_n", F.count(F.lit(1)).over(group))
+        placed = placed.filter((F.col("_no") + 1) * batch_size <= F.col("_n")).drop("_n")
     return (
-        blocks.withColumn("_rn", rn)
-        .withColumn("batch", F.col("block") * prefetch + F.floor(F.col("_rn") / batch_size))
+        placed.withColumn("batch", F.col("block") * prefetch + F.col("_no"))
         .withColumn("pos_in_batch", (F.col("_rn") % batch_size).cast("int"))
-        .drop("_rn")
+        .drop("_rn", "_no")
     )
 
 
-def complete_batches(df: DataFrame, batch_size: int, shard: Sequence[str] = ()) -> DataFrame:
-    """Drop a finite table's last, unfilled batch."""
-    filled = F.count(F.lit(1)).over(Window.partitionBy(*shard, "batch"))
-    return df.withColumn("_n", filled).filter(F.col("_n") == batch_size).drop("_n")
-
-
 def batch_rows(
     df: DataFrame, key: str, batch_size: int, shuffle_seed: str | int | None = None, drop_last: bool = False
 ) -> DataFrame:

@@ -47,7 +47,8 @@ def ordered_bucket(df: DataFrame, key: str) -> Column:
     # every 16th border first, then the 15 between two of those
     block = passed(F.lit(borders[15::16])) if len(borders) > 15 else F.lit(0)
     coarse = let(block, lambda g: g * 16 + passed(F.slice(every, g * 16 + 1, F.lit(15))))
-    return let(coarse, fine).cast("int")
+    # never null: otherwise a join on the bucket would test it for null below the aggregation
+    return F.coalesce(let(coarse, fine).cast("int"), F.lit(0))
 
 
 _AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import ordered_bucket, running_offset
+from tokenloom.operators.ordering import ordered_bucket
 
 # The quantiles of a profile.
 QUANTILES = (
@@ -20,32 +21,42 @@ QUANTILES = (
 def exact_quantiles(df: DataFrame, name: str, value: str, shares: Sequence[float] = QUANTILES) -> DataFrame:
     """Interpolated quantiles ``(name, q, value)`` over all values of each name.
 
-    Equal values are counted first, then placed by a running count; the few
-    values that hold a wanted rank are picked.  No task sees a whole column.
+    Equal values are counted first.  The running sum over the bucket totals shows
+    which buckets hold a wanted rank; only the values of those few buckets are
+    then put in order.  No task sees a whole column, and most values are never sorted.
     """
     counts = df.groupBy(name, value).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = df.groupBy(name).agg(F.count(F.lit(1)).alias("_size"))
-    placed = running_offset(counts, F.col("_n"), ordered_bucket(df, value), [F.col(value)], "_start", [name])
-    wanted = F.array(*[F.lit(float(q)) for q in shares])
-    # one row per profiled name: the columns or tensors, not the data
-    ranked = placed.join(F.broadcast(sizes), name).withColumn(
-        "_hits",
-        F.filter(
-            F.transform(
-                wanted, lambda q: F.struct(q.alias("q"), (q * (F.col("_size") - 1).cast("double")).alias("at"))
-            ),
-            lambda t: (F.ceil(t["at"]) >= F.col("_start")) & (F.floor(t["at"]) < F.col("_start") + F.col("_n")),
-        ),
-    )
-    hits = ranked.filter(F.size("_hits") > 0).select(
-        name, F.col(value).alias("_x"), "_start", "_n", F.explode("_hits").alias("t")
+    counts = counts.withColumn("_bucket", ordered_bucket(df, value))
+    totals = counts.groupBy(name, "_bucket").agg(F.sum("_n").alias("_total"))
+    # at most FINE_BUCKETS rows per name from here on
+    order = Window.partitionBy(name).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.select(
+        name,
+        "_bucket",
+        "_total",
+        F.coalesce(F.sum("_total").over(order), F.lit(0)).alias("_start"),
+        F.sum("_total").over(Window.partitionBy(name)).alias("_size"),
     )
+    last = (F.col("_size") - 1).cast("double")
+    first, stop = F.col("_start").cast("double"), (F.col("_start") + F.col("_total")).cast("double")
+    wanted = F.lit(np.array([float(q) for q in shares]))
+    # rank q * last lies between two rows; the bucket is needed when it holds one of them
+    held = F.filter(wanted, lambda q: (q * last > first - 1) & (q * last < stop))
+    needed = placed.select(name, "_bucket", "_start", last.alias("_last"), held.alias("_targets"))
+    needed = needed.filter(F.size("_targets") > 0)
+
+    # at most two buckets per quantile and name
+    rows = counts.join(F.broadcast(needed), [name, "_bucket"])
+    inside = Window.partitionBy(name, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    hits = ranked.select(name, F.col(value).alias("_x"), "_from", "_n", "_last", F.explode("_targets").alias("q"))
+    hits = hits.withColumn("_at", F.col("q") * F.col("_last"))
 
     def at_rank(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n")), F.col("_x")))
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_n")), F.col("_x")))
 
-    ends = hits.groupBy(name, F.col("t.q").alias("q"), F.col("t.at").alias("_at")).agg(
-        at_rank(F.floor("t.at")).alias("_low"), at_rank(F.ceil("t.at")).alias("_high")
+    ends = hits.groupBy(name, "q", "_at").agg(
+        at_rank(F.floor("_at")).alias("_low"), at_rank(F.ceil("_at")).alias("_high")
     )
     return ends.select(
         name, "q", (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))).alias("value")

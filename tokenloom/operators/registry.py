@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.functions.tokens import byte_tokens, text_bytes
+from tokenloom.functions.tokens import byte_tokens
 from tokenloom.operators.bpe import Merge, encode_text
 
 Encoder = Callable[[Column], Column]
@@ -47,4 +47,3 @@ def _bpe(spark: SparkSession, merges: Sequence[Merge] = (), bos: int | None = No
 register_tokenizer("bytes", _bytes)
 register_tokenizer("mock", _mock)
 register_tokenizer("bpe", _bpe)
-__all__ = ["build_tokenizer", "register_tokenizer", "text_bytes"]

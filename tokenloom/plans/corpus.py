@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
-from tokenloom.functions.arrays import checksum
-from tokenloom.functions.hashing import gaussian, md5_uniform
+from tokenloom.functions.hashing import gaussian
 from tokenloom.functions.tokens import byte_token_count
 from tokenloom.operators import corpus as cp
 from tokenloom.operators import ordering as od

@@ -13,7 +13,6 @@ from tokenloom.plans.loader import (
     BATCH,
     PREFETCH,
     SEQ_LEN,
-    SHARDS,
     STREAM_SQL,
     WEIGHTS,
     WINDOW,

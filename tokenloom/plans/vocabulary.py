@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tokenloom.functions import bytechars as bc
 from tokenloom.functions import text as tx
 from tokenloom.functions import tokens as tk
-from tokenloom.functions.arrays import array_sum, checksum
+from tokenloom.functions.arrays import checksum
 from tokenloom.operators import batching as bt
 from tokenloom.operators import bpe
 from tokenloom.operators import unigram
 from tokenloom.operators import vocab as vb
 from tokenloom.operators.registry import build_tokenizer
-from tokenloom.plans.catalog import register, sql_checksum, table
 from tokenloom.operators.ordering import spread
+from tokenloom.plans.catalog import register, table
 from tokenloom.plans.corpus import documents, heavy_documents
 from tokenloom.session import scratch_path
 from tokenloom.sources import readers, writers

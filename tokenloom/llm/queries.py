@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import mixing, sharding, simhash, warc
+from tokenloom.llm import lm, mixing, quality, sharding, simhash, warc
 from tokenloom.llm.catalog import register
 from tokenloom.plans.catalog import table
 from tokenloom.session import scratch_path
@@ -17,18 +17,28 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@register("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("row_hash")
+
+
 @register("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.contract(sharding.shard_by_bytes(table(spark, sf_dir, "documents")))
 
 
+@register("op7_scoring")
+def op7_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @register("op9_mixing", mixing.MIX_SQL)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = table(spark, sf_dir, "documents").select(F.struct("doc_id", "source", "text").alias("doc"))
-    weighed = mixing.label_quality(packed, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix_sources(weighed)
+    quality = mixing.label_quality(table(spark, sf_dir, "labels"))
+    mixed = mixing.mix_sources(mixing.sized_rows(table(spark, sf_dir, "documents"), quality))
     taken = (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
-    return mixed.select("doc.doc_id", "size", "source_size", "target", taken)
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
 WARC_SQL = """

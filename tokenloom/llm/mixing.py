@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenloom.llm.storage import staged
 from tokenloom.operators.ordering import running_offset
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,14 +32,25 @@ def uniform(seed: str, key: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def label_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` (packed as ``doc``) with ``quality``: 2 if labelled good, 0.5 if labelled bad, else 1.
+def label_quality(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``labelled, quality`` per labelled document: 2 if good, 0.5 if bad.
 
     Several labels of one document count as bad if one of them does; null labels count as none.
     """
-    marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.min("quality").alias("_mark"))
-    weight = F.when(F.col("_mark") == 1, 2.0).when(F.col("_mark") == 0, 0.5).otherwise(1.0)
-    return docs.join(marks, F.col(f"doc.{key}") == F.col("_id"), "left").select("doc", weight.alias("quality"))
+    marks = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("labelled")).agg(F.min("quality").alias("mark"))
+    return marks.select("labelled", F.when(F.col("mark") == 1, 2.0).when(F.col("mark") == 0, 0.5).alias("quality"))
+
+
+def sized_rows(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
+    """``doc_id, source, text_hash, size, quality``: what the mix needs to know of a row; texts stay behind.
+
+    Rows without a ``quality`` (see ``label_quality``) weigh 1.
+    """
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("size"))
+    if quality is None:
+        return rows.withColumn("quality", F.lit(1.0))
+    met = rows.join(quality, F.col("doc_id") == F.col("labelled"), "left").drop("labelled")
+    return met.withColumn("quality", F.coalesce("quality", F.lit(1.0)))
 
 
 def source_targets(
@@ -68,13 +80,13 @@ def source_targets(
 
 
 def mix_sources(
-    docs: DataFrame,
+    rows: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     max_repeat: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """``doc, size, source_size, target, copies`` for rows of ``doc`` (a struct) and ``quality``.
+    """``doc_id, source, text_hash, size, source_size, target, copies`` for every row of ``sized_rows``.
 
     ``copies`` is how often the mix takes a document: the complete epochs of its source, plus one
     if the document's middle word lies inside the rest of the budget (so the sum is nearest to the
@@ -82,14 +94,10 @@ def mix_sources(
     id and text, so runs agree; repeated rows are drawn one by one.  Quality must be positive.
     No rows give no rows.
     """
-    sized = docs.select(
-        "doc",
-        F.col("doc.source").alias("source"),
-        word_count(F.col("doc.text")).alias("size"),
-        (-F.log(uniform(seed, F.col("doc.doc_id"))) / F.col("quality")).alias("key"),
-    )
+    key = -F.log(uniform(seed, F.col("doc_id"))) / F.col("quality")
+    sized = staged(rows.withColumn("key", key), "mix-sizes")
     bucket = F.floor(F.col("key") / (F.col("key") + 1) * KEY_BUCKETS).cast("int")
-    order = [F.col("key"), F.col("doc.doc_id"), F.xxhash64("doc.text")]
+    order = [F.col("key"), F.col("doc_id"), F.col("text_hash")]
     drawn = running_offset(sized, F.col("size"), bucket, order, "before", ["source"])
     targets = source_targets(sized, weights, share, max_repeat).withColumnRenamed("source", "of")
     both = drawn.join(targets, F.col("source").eqNullSafe(F.col("of")))
@@ -97,17 +105,32 @@ def mix_sources(
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     inside = F.col("before") + F.col("size") / 2.0 <= rest
     return both.withColumn("epochs", epochs).select(
-        "doc", "size", "source_size", "target", (F.col("epochs") + inside.cast("bigint")).alias("copies")
-    )
+        "doc_id", "source", "text_hash", "size", "source_size", "target",
+        (F.col("epochs") + inside.cast("bigint")).alias("copies"),
+    )
 
 
 def mixed_rows(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
-    """The rows of the mix itself: every document as often as it is taken, columns as they were."""
-    packed = docs.select(F.struct("*").alias("doc"))
-    packed = packed.withColumn("quality", F.lit(1.0)) if quality is None else label_quality(packed, quality)
-    taken = mix_sources(packed, **options).filter("copies > 0")
-    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select("doc.*")
+    """The rows of the mix itself: every document as often as it is taken, columns as they were.
+
+    Rows and copies meet by id, source and text hash.  Repeated rows have copies that differ by one
+    at most, so their sum is dealt out evenly again.
+    """
+    taken = mix_sources(sized_rows(docs, quality), **options)
+    keys = ["_id", "_source", "_hash"]
+    copies = taken.groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "text_hash"), keys, strict=True)])
+    copies = copies.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0")
+    packed = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.col("source").alias("source"),
+        F.xxhash64("text").alias("hash"),
+    )
+    same = F.lit(True)
+    for c, k in zip(("id", "source", "hash"), keys, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    own = F.floor(F.col("_copies") / F.col("_rows")) + (number <= F.col("_copies") % F.col("_rows")).cast("bigint")
+    met = packed.join(copies, same).withColumn("_own", own).filter("_own > 0")
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own")))).select("doc.*")
 
 
 MIX_SQL = r"""

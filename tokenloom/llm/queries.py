@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import lm, mixing, quality, sharding, simhash, warc
+from tokenloom.llm import decontamination, lm, mixing, quality, sharding, simhash, substring_dedup, warc
 from tokenloom.llm.catalog import register
 from tokenloom.plans.catalog import table
 from tokenloom.session import scratch_path
 
 
+@register("op1_substrings")
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

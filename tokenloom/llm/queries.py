@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import decontamination, lm, mixing, quality, sharding, simhash, substring_dedup, warc
+from tokenloom.llm import (
+    decontamination,
+    licences,
+    line_dedup,
+    lm,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    warc,
+)
 from tokenloom.llm.catalog import register
 from tokenloom.plans.catalog import table
 from tokenloom.session import scratch_path
@@ -38,11 +49,23 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.contract(sharding.shard_by_bytes(table(spark, sf_dir, "documents")))
 
 
+@register("op6_licences", licences.LICENCE_SQL)
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 @register("op7_scoring")
 def op7_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+@register("op8_lines", line_dedup.LINES_SQL)
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    kept = F.md5(F.coalesce("kept_text", F.lit("")).cast("binary")).alias("kept_md5")
+    return found.select("doc_id", "n_lines", "n_removed", kept)
+
+
 @register("op9_mixing", mixing.MIX_SQL)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     quality = mixing.label_quality(table(spark, sf_dir, "labels"))

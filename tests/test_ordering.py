@@ -126,3 +126,15 @@ def test_next_fit(spark):
                 batch, used = batch + 1, 0
             used += n
             assert got[c, i] == batch
+
+
+def test_slices_and_ranks_by_text_keys(spark):
+    keys = [f"{'é' if i % 3 else 'a'}{i * 7919 % 1000:04d}" for i in range(900)] + ["", "a", "same-start-1", "same-start-2"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    wanted = sorted(keys, key=lambda k: k.encode())
+    found = {r["rank"]: r["k"] for r in od.rank_by_id(df, "k", "rank").collect()}
+    assert [found[i] for i in range(len(keys))] == wanted
+    for start, end in ((0, 5), (100, 130), (890, 2000), (5000, 5001)):
+        part = {r["row_idx"]: r["k"] for r in od.slice_rows(df, "k", start, end).collect()}
+        assert [part[i] for i in sorted(part)] == wanted[start:end]
+        assert sorted(part) == list(range(start, min(end, len(wanted)))) or not part

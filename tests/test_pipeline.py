@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom import session
+from tokenloom.functions import text as tx
 from tokenloom.functions.hashing import md5_uniform
 from tokenloom.operators import batching as bt
 from tokenloom.operators import corpus as cp
+from tokenloom.operators import evaluation as ev
 from tokenloom.operators import mixture as mx
 from tokenloom.operators import runs as rn
 from tokenloom.sources import readers, writers
@@ -161,3 +163,15 @@ def test_checkpoint_folder_comes_from_the_session():
     assert session.scratch_path(cluster, "x").startswith("hdfs://shared/checkpoints/x-")
     with pytest.raises(ValueError):
         session.shared_dir(_Session("yarn", None))
+
+
+def test_faults_that_sql_shared(spark):
+    df = spark.createDataFrame([(1, "one\u0001two. Three!\nfour?  five")], "id long, text string")
+    assert df.select(tx.sentences(F.col("text"))).first()[0] == ["one\u0001two.", "Three!", "four?", "five"]
+    names = [r[0] for r in spark.range(120).select(writers.chunk_name("c.", ".jsonl", "id")).collect()]
+    assert len(set(names)) == 120 and names[3] == "c.03.jsonl" and names[101] == "c.101.jsonl"
+    rows = spark.createDataFrame([("p", "", []), ("p", "ab", [1.0, 3.0])], "path string, text string, ll array<double>")
+    found = ev.validation_metrics(rows, "path", "ll", "text").first()
+    assert (found["nll_per_token"], found["nll_per_char"], found["nll"]) == (2.0, 2.0, 2.0)
+    none = spark.createDataFrame([(1, 0.0, 0, 0)], "e int, loss double, hit int, n int")
+    assert ev.epoch_ratios(none, "e", "loss", "hit", "n").first()["accuracy"] is None

@@ -52,7 +52,23 @@ def test_training_takes_the_same_merges_as_one_by_one(spark, seed, letters):
 
 def test_byte_fallback(spark):
     df = spark.createDataFrame([("aé",)], "w string").select(bpe.initial_symbols(F.col("w"), ["a"]).alias("s"))
-    assert df.select(bpe.symbol_array(F.col("s"))).first()[0] == ["a", "<0xC3>", "<0xA9>"]
+    assert df.first()[0] == ["a", "<0xC3>", "<0xA9>"]
+
+
+def test_control_characters_are_symbols_like_others(spark):
+    counts = Counter({"a\u0001b": 3, "\u0001\u0001": 2, "ab": 2})
+    df = spark.createDataFrame(list(counts.items()), "word string, cnt long")
+    state = df.select("word", bpe.initial_symbols(F.col("word")).alias("symbols"), "cnt")
+    found = {(r["left"], r["right"]): (r["cnt"], r["n_words"]) for r in bpe.pair_words(state).collect()}
+    assert found == {("a", "\u0001"): (3, 1), ("\u0001", "b"): (3, 1), ("\u0001", "\u0001"): (2, 1), ("a", "b"): (2, 1)}
+    assert bpe.train_merges(state, 5) == one_by_one(counts, 5)
+
+
+def test_documents_without_words_keep_their_row(spark):
+    docs = spark.createDataFrame([(1, ""), (2, "ab ab"), (3, None)], "doc_id long, text string")
+    found = bpe.encode_by_join(docs, "doc_id", tx.pretokens(F.col("text")), [("a", "b")])
+    sizes = {r["doc_id"]: len(r["ids"]) for r in found.collect()}
+    assert sizes == {1: 0, 2: 3, 3: 0}
 
 
 @pytest.fixture(scope="module")

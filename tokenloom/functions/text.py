@@ -80,8 +80,7 @@ def is_long_enough(sentence: Column, words: int = 5) -> Column:
 
 def sentences(text: Column) -> Column:
     """Stripped sentences: a cut after . ! or ? that is followed by white space."""
-    marked = F.regexp_replace(text, "([.!?])[ \\t\\n\\r]+", "$1\u0001")
-    return F.transform(F.split(marked, "\u0001"), strip)
+    return F.transform(F.split(text, "(?<=[.!?])[ \\t\\n\\r]+"), strip)
 
 
 def pretokens(text: Column) -> Column:

@@ -1,11 +1,11 @@
 """Byte-pair vocabularies: training over distinct words, and encoding.
 
-A word is held as one string in which every symbol is wrapped in U+0001, so a
-merge is a plain substring replacement in the JVM.
+A word is an array of symbols, so no character of a text has a meaning of its own.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -14,59 +14,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tokenloom.functions.arrays import let
 from tokenloom.functions.bytechars import byte_chars, from_byte_chars, to_byte_chars
 from tokenloom.functions.text import pretokens
 from tokenloom.session import ensure_checkpoint_dir
 
-MARK = "\u0001"
 Merge = tuple[str, str]
 
 
-def wrapped(symbol: str) -> str:
-    return f"{MARK}{symbol}{MARK}"
-
-
 def initial_symbols(word: Column, alphabet: Sequence[str] | None = None) -> Column:
     """One symbol per character; characters outside the alphabet fall back to byte symbols."""
     chars = F.regexp_extract_all(word, F.lit("(?s)."), F.lit(0))
-    if alphabet is not None:
-        known = F.array(*[F.lit(c) for c in alphabet])
-        as_bytes = lambda c: F.transform(
-            F.regexp_extract_all(F.hex(c.cast("binary")), F.lit(".."), F.lit(0)),
-            lambda h: F.concat(F.lit("<0x"), h, F.lit(">")),
-        )
-        chars = F.flatten(
-            F.transform(chars, lambda c: F.when(F.array_contains(known, c), F.array(c)).otherwise(as_bytes(c)))
-        )
-    return F.array_join(F.transform(chars, lambda c: F.concat(F.lit(MARK), c, F.lit(MARK))), "")
-
-
-def symbol_array(symbols: Column) -> Column:
-    return F.split(F.btrim(symbols, F.lit(MARK)), MARK + MARK)
+    if alphabet is None:
+        return chars
+    known = F.array(*[F.lit(c) for c in alphabet])
+    as_bytes = lambda c: F.transform(
+        F.regexp_extract_all(F.hex(c.cast("binary")), F.lit(".."), F.lit(0)),
+        lambda h: F.concat(F.lit("<0x"), h, F.lit(">")),
+    )
+    return F.flatten(
+        F.transform(chars, lambda c: F.when(F.array_contains(known, c), F.array(c)).otherwise(as_bytes(c)))
+    )
 
 
-def _pairs(words: DataFrame, *keep: str) -> DataFrame:
-    parts = words.select(*keep, symbol_array(F.col("symbols")).alias("s"))
-    n = F.size("s") - 1
-    pairs = F.arrays_zip(F.slice("s", F.lit(1), n).alias("left"), F.slice("s", F.lit(2), n).alias("right"))
-    return parts.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.left", "p.right")
+def adjacent(symbols: Column) -> Column:
+    """``left, right`` of every pair of neighbours."""
+    n = F.greatest(F.size(symbols) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(symbols, F.lit(1), n).alias("left"), F.slice(symbols, F.lit(2), n).alias("right"))
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent pairs of ``words(symbols, cnt)``, weighted by the word counts."""
-    return _pairs(words, "cnt").groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
+    pairs = words.select("cnt", F.explode(adjacent(F.col("symbols"))).alias("p"))
+    return pairs.groupBy("p.left", "p.right").agg(F.sum("cnt").alias("cnt"))
 
 
 def pair_words(words: DataFrame) -> DataFrame:
     """As ``pair_counts``, with the number of distinct words that hold the pair.
 
-    The words of a pair stay rows (word, pair, times): a set per pair would put
-    most of the vocabulary into the group of a frequent pair.
+    A word is one row, so a pair's places are counted inside it before anything is exchanged.
     """
-    per_word = _pairs(words, "word", "cnt").groupBy("word", "left", "right").agg(
-        F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("times")
+    inside = let(
+        adjacent(F.col("symbols")),
+        lambda pairs: F.transform(
+            F.array_distinct(pairs),
+            lambda p: F.struct(p["left"].alias("left"), p["right"].alias("right"), F.size(F.filter(pairs, lambda q: q == p)).alias("times")),
+        ),
+    )
+    pairs = words.select("cnt", F.explode(inside).alias("p"))
+    return pairs.groupBy("p.left", "p.right").agg(
+        F.sum(F.col("cnt") * F.col("p.times")).alias("cnt"), F.count(F.lit(1)).alias("n_words")
     )
-    return per_word.groupBy("left", "right").agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("n_words"))
 
 
 def best_pair(counts: DataFrame) -> DataFrame:
@@ -74,11 +72,17 @@ def best_pair(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("cnt"), "left", "right").limit(1)
 
 
-def apply_merges(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
-    symbols = F.col("symbols")
-    for left, right in merges:
-        symbols = F.replace(symbols, F.lit(wrapped(left) + wrapped(right)), F.lit(wrapped(left + right)))
-    return words.withColumn("symbols", symbols)
+def apply_merges(words: DataFrame, merges: Sequence[Merge], out: str = "symbols") -> DataFrame:
+    """Symbols of ``words`` after the merges, the first ones first; each word is rewritten once."""
+    model = words.sparkSession.sparkContext.broadcast(list(merges))  # at most the merges between two checkpoints
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ranks = {m: i for i, m in reversed(list(enumerate(model.value)))}
+        for symbols in batches:
+            yield symbols.map(lambda s: merge_word(s, ranks))
+
+    return words.withColumn(out, run("symbols"))
 
 
 def independent_head(ranked: Sequence[tuple[str, str, int]], existing: set[str], complete: bool) -> list[Merge]:
@@ -109,35 +113,62 @@ def independent_head(ranked: Sequence[tuple[str, str, int]], existing: set[str],
     return taken
 
 
+def _changes(words: DataFrame, before: Sequence[Merge], head: Sequence[Merge]) -> DataFrame:
+    """What the merges of ``head``, after ``before``, add to the pair counts of ``words``.
+
+    Only words whose text holds the text of a new piece can change; the others are passed over.
+    """
+    letters = F.array_join("symbols", "")
+    may = F.lit(False)
+    for left, right in head:
+        may = may | F.contains(letters, F.lit(left + right))
+    held = words.filter(may)
+    old = apply_merges(held, before) if before else held
+    new = apply_merges(old, head, "now")
+    changed = new.filter(F.col("now") != F.col("symbols"))
+    gained = changed.select(F.col("now").alias("symbols"), "cnt")
+    return pair_counts(gained.unionByName(changed.select("symbols", (-F.col("cnt")).alias("cnt"))))
+
+
 def train_merges(
-    words: DataFrame, n_merges: int, min_count: int = 1, candidates: int = 256, passes_per_checkpoint: int = 8
+    words: DataFrame, n_merges: int, min_count: int = 1, candidates: int = 256, passes_per_checkpoint: int = 32
 ) -> list[Merge]:
     """Ordered merges of ``words(symbols, cnt)``.
 
-    A pass counts all pairs, fetches the ``candidates`` best ones and takes every
-    merge that is certain to come next, so there are far fewer passes than merges.
-    The word table is checkpointed to the shared folder now and then.
+    All pairs are counted once.  A pass fetches the ``candidates`` best ones, takes every merge that is certain
+    to come next, and adds to the counts what changes in the words that hold a taken pair.  The changes are
+    checkpointed every pass; words and counts every ``passes_per_checkpoint`` passes, so no plan grows on.
     """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
-    # a fixed number of partitions: the table is small in bytes but every pass is CPU work
+    # a fixed number of partitions: the table is small in bytes but its passes are CPU work
     state = words.select("symbols", "cnt").repartition(spark.sparkContext.defaultParallelism).checkpoint()
+    counts = pair_counts(state).checkpoint()
+    changes: list[DataFrame] = []
     merges: list[Merge] = []
+    applied = 0
     existing: set[str] = set()
-    passes = 0
     while len(merges) < n_merges:
-        counted = pair_counts(state).filter(F.col("cnt") >= min_count)
+        now = counts
+        if changes:
+            for part in changes:
+                now = now.unionByName(part)
+            now = now.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0")
+        counted = now.filter(F.col("cnt") >= min_count)
         rows = counted.orderBy(F.desc("cnt"), "left", "right").select("left", "right", "cnt").limit(candidates).collect()
         head = independent_head([tuple(r) for r in rows], existing, len(rows) < candidates)
         head = head[: n_merges - len(merges)]
         if not head:
             break
+        if len(merges) + len(head) < n_merges:
+            changes.append(_changes(state, merges[applied:], head).checkpoint())
         merges += head
         existing |= {a + b for a, b in head}
-        state = apply_merges(state, head)
-        passes += 1
-        if passes % passes_per_checkpoint == 0:
-            state = state.checkpoint()
+        if len(changes) >= passes_per_checkpoint:
+            counts = counts.unionByName(functools.reduce(DataFrame.unionByName, changes))
+            counts = counts.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0").checkpoint()
+            state = apply_merges(state, merges[applied:]).checkpoint()
+            applied, changes = len(merges), []
     return merges
 
 
@@ -193,19 +224,20 @@ def encode_dictionary(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
 
 
 def encode_by_join(df: DataFrame, key: str, words: Column, merges: Sequence[Merge], hot_words: int = 1000) -> DataFrame:
-    """Documents to ids through the distinct-word dictionary.
+    """Documents to ids through the distinct-word dictionary; one without words has no ids.
 
     The most frequent words (a fixed number of them) are joined without an
     exchange; only the rest is shuffled by word, where no word is hot any more.
     """
-    placed = df.select(key, F.posexplode(words).alias("pos", "word"))
-    counts = placed.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    placed = df.select(key, F.posexplode_outer(words).alias("pos", "word"))
+    counts = placed.filter("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     hot = counts.orderBy(F.desc("cnt"), "word").limit(hot_words)
     hot_ids = F.broadcast(encode_dictionary(hot.select("word"), merges))
     cold_ids = encode_dictionary(counts.select("word"), merges)
     left = placed.join(hot_ids.withColumnRenamed("ids", "hot_ids"), "word", "left")
-    done = left.filter(F.col("hot_ids").isNotNull()).select(key, "pos", F.col("hot_ids").alias("ids"))
-    rest = left.filter(F.col("hot_ids").isNull()).select(key, "pos", "word").join(cold_ids, "word")
+    at_once = F.col("hot_ids").isNotNull() | F.col("word").isNull()
+    done = left.filter(at_once).select(key, "pos", F.coalesce("hot_ids", F.array().cast("array<int>")).alias("ids"))
+    rest = left.filter(~at_once).select(key, "pos", "word").join(cold_ids, "word")
     parts = done.unionByName(rest.select(key, "pos", "ids"))
     return parts.groupBy(key).agg(F.flatten(F.array_sort(F.collect_list(F.struct("pos", "ids")))["ids"]).alias("ids"))
 
@@ -233,15 +265,9 @@ def encode_text(spark, text: Column, merges: Sequence[Merge]) -> Column:
 
 
 def decode_ids(spark, ids: Column, merges: Sequence[Merge]) -> Column:
-    """Ids -> pieces -> bytes -> text, bad bytes replaced."""
-    model = spark.sparkContext.broadcast(byte_vocab(merges))
-
-    @F.pandas_udf("string")
-    def join_pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            yield rows.map(lambda row: "".join(model.value[i] for i in row))
-
-    return from_byte_chars(join_pieces(ids))
+    """Ids -> pieces -> bytes -> text, bad bytes replaced; the pieces travel as one literal array."""
+    pieces = F.lit(byte_vocab(merges))
+    return from_byte_chars(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
 
 def recover_merges(vocab: DataFrame, ranks: dict[str, int]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
-from tokenloom.operators.ordering import ordered_bucket, rank_by_id, running_offset, FINE_BUCKETS
+from tokenloom.operators.ordering import FINE_BUCKETS, ordered_bucket, ranked_slice, slice_rows
 
 
 def keep_nonblank(df: DataFrame, text: str = "text") -> DataFrame:
@@ -39,8 +39,7 @@ def capped_by_listed_order(
     """Read the groups in the listed order until ``cap`` rows are taken altogether."""
     listed = df.withColumn("_place", listed_order(F.col(group), values)).filter(F.col("_place").isNotNull())
     bucket = F.col("_place") * FINE_BUCKETS + ordered_bucket(df, key)
-    ranked = running_offset(listed, F.lit(1), bucket, [F.col("_place"), F.col(key)], "rank")
-    return ranked.filter(F.col("rank") < cap).drop("_place")
+    return ranked_slice(listed, bucket, [F.col("_place"), F.col(key)], 0, cap, "rank").drop("_place")
 
 
 def explode_sentences(df: DataFrame, text: str = "text") -> DataFrame:
@@ -49,7 +48,7 @@ def explode_sentences(df: DataFrame, text: str = "text") -> DataFrame:
 
 def take_then_filter(df: DataFrame, key: str, n: int, predicate: Column) -> DataFrame:
     """The first ``n`` rows in id order, and only then the predicate."""
-    return rank_by_id(df, key, "row_idx").filter(F.col("row_idx") < n).filter(predicate)
+    return slice_rows(df, key, 0, n).filter(predicate)
 
 
 def validation_head(df: DataFrame, chunk: str, rank: str, k: int) -> DataFrame:

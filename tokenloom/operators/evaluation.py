@@ -15,7 +15,8 @@ def validation_metrics(df: DataFrame, path: str, scores: str, text: str) -> Data
     """Per source the mean over documents (not over tokens) of the summed score, the
     score per token and per character, and the length.
 
-    The score keeps the sign of the log likelihood.  Sources that share a base
+    A document without tokens (or characters) has no score per token (or character) and is left out of
+    that mean.  The score keeps the sign of the log likelihood.  Sources that share a base
     name get numbered names.
     """
     total = array_sum(F.col(scores), "double")
@@ -24,8 +25,8 @@ def validation_metrics(df: DataFrame, path: str, scores: str, text: str) -> Data
     )
     per_source = rows.groupBy(path).agg(
         F.avg("_sum").alias("nll"),
-        F.avg(F.col("_sum") / F.col("_n")).alias("nll_per_token"),
-        F.avg(F.col("_sum") / F.col("_chars")).alias("nll_per_char"),
+        F.avg(F.try_divide("_sum", "_n")).alias("nll_per_token"),
+        F.avg(F.try_divide("_sum", "_chars")).alias("nll_per_char"),
         F.avg("_n").alias("avg_seqlen"),
     )
     base = F.substring_index(path, "/", -1)
@@ -59,9 +60,10 @@ def mean_loss(df: DataFrame, batch: str, loss: str, n_batches: int | None) -> Da
 
 
 def epoch_ratios(df: DataFrame, epoch: str, loss: str, correct: str, words: str) -> DataFrame:
+    """Loss and hits per word of each epoch; null for an epoch without words."""
     total = F.sum(words)
     return df.groupBy(epoch).agg(
-        (F.sum(loss) / total).alias("loss_per_word"), (F.sum(correct) / total).alias("accuracy")
+        F.try_divide(F.sum(loss), total).alias("loss_per_word"), F.try_divide(F.sum(correct), total).alias("accuracy")
     )
 
 

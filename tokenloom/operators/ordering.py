@@ -22,19 +22,26 @@ FINE_PER_SPLIT = 256
 FINE_BUCKETS = (COARSE_SPLITS + 1) * FINE_PER_SPLIT
 
 
+def _leading_number(key: str) -> str:
+    """The first seven bytes of a string as a number: it follows the order of strings."""
+    return f"cast(conv(rpad(hex(substring(cast(`{key}` AS binary), 1, 7)), 14, '0'), 16, 10) AS bigint)"
+
+
 def ordered_bucket(df: DataFrame, key: str) -> Column:
-    """Bucket number (below ``FINE_BUCKETS``) that never decreases with the numeric ``key``.
+    """Bucket number (below ``FINE_BUCKETS``) that never decreases with ``key``, a number or a string.
 
     Approximate quantiles place the coarse borders, so clustered or sparse keys
     still fill the buckets evenly; between two borders the key is interpolated.
     One pass over the key column fetches the 255 borders to the driver; as
     literals they are the same in every branch of the plan and in every retry.
     """
+    text = df.schema[key].dataType.typeName() in ("string", "varchar", "char")
+    number = F.expr(_leading_number(key)) if text else F.col(key)
     shares = ", ".join(str(i / (COARSE_SPLITS - 1)) for i in range(COARSE_SPLITS))
-    found = df.select(F.expr(f"percentile_approx(`{key}`, array({shares}), 10000)")).first()[0]
+    found = df.select(number.alias("_key")).select(F.expr(f"percentile_approx(_key, array({shares}), 10000)")).first()[0]
     kind = np.float64 if df.schema[key].dataType.typeName() in ("double", "float") else np.int64
     borders = np.array(sorted(set(found or [0])), dtype=kind)
-    every, value = F.lit(borders), F.col(key)
+    every, value = F.lit(borders), number
 
     def passed(values: Column) -> Column:
         return F.size(F.filter(values, lambda b: b <= value))
@@ -134,13 +141,9 @@ def offset_by_id(
     return running_offset(df, value, ordered_bucket(ids or df, key), [F.col(key)], out, shard)
 
 
-def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
-    """Even out a scan with fewer splits than cores before CPU-heavy work on its rows.
-
-    A large table has many splits and passes unchanged, without an exchange.
-    """
-    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows evenly to ``partitions`` tasks before CPU-heavy work; None leaves them where they are."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def row_total(df: DataFrame) -> Column:
@@ -148,10 +151,33 @@ def row_total(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def ranked_slice(
+    df: DataFrame, bucket: Column, order: Sequence[Column], start: int, end: int, out: str = "row_idx"
+) -> DataFrame:
+    """The rows whose zero-based place in the order lies in ``[start, end)``, with the place.
+
+    The bucket totals (at most ``FINE_BUCKETS`` rows for a plain key) tell which buckets meet the slice,
+    so only the rows of those buckets are exchanged.
+    """
+    work = df.withColumn("_at", bucket)
+    totals = sorted(work.groupBy("_at").agg(F.count(F.lit(1)).alias("n")).collect())
+    first = last = None
+    before = skipped = 0
+    for at, n in totals:
+        if before + n > start and before < end:
+            skipped = before if first is None else skipped
+            first, last = at if first is None else first, at
+        before += n
+    if first is None:
+        return work.drop("_at").withColumn(out, F.lit(0).cast("bigint")).limit(0)
+    near = work.filter(F.col("_at").between(first, last))
+    ranked = running_offset(near, F.lit(1), F.col("_at"), order, out).drop("_at").withColumn(out, F.col(out) + skipped)
+    return ranked.filter((F.col(out) >= start) & (F.col(out) < end))
+
+
 def slice_rows(df: DataFrame, key: str, start: int, end: int) -> DataFrame:
     """Rows ``[start, end)`` in id order."""
-    ranked = rank_by_id(df, key, "row_idx")
-    return ranked.filter((F.col("row_idx") >= start) & (F.col("row_idx") < end))
+    return ranked_slice(df, ordered_bucket(df, key), [F.col(key)], start, end)
 
 
 def global_shuffle(df: DataFrame, seed: str | int, key: str, out: str = "rank") -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.arrays import let, slice_from
+from tokenloom.functions.arrays import exclusive_cumsum, let, slice_from
 from tokenloom.operators.ordering import offset_by_id
 
 
@@ -160,11 +160,6 @@ def local_ids(lengths: Column) -> Column:
     )
 
 
-def is_visible(q_segment: Column, q_pos: Column, kv_segment: Column, kv_pos: Column) -> Column:
-    """The attention mask of packed documents as a predicate."""
-    return (q_segment == kv_segment) & (q_pos >= kv_pos)
-
-
 def visible_ranges(lengths: Column) -> Column:
     """The same mask as one range per query: keys ``[first, q]`` of the packed row are visible.
 
@@ -180,3 +175,25 @@ def visible_ranges(lengths: Column) -> Column:
             (x["position"] + 1).alias("n_visible"),
         ),
     )
+
+
+def segment_sums(lengths: Column) -> Column:
+    """What the local ids and visible ranges of each segment that has tokens come to, from its length alone.
+
+    A segment of n tokens that starts at s holds positions 0 to n - 1; its queries run from s to s + n - 1 and
+    see n (n + 1) / 2 pairs, the first key being s.
+    """
+    zipped = F.arrays_zip(lengths.alias("n"), exclusive_cumsum(lengths).alias("start"))
+
+    def sums(x: Column, i: Column) -> Column:
+        n, start = x["n"].cast("bigint"), x["start"].cast("bigint")
+        return F.struct(
+            i.alias("segment"),
+            n.alias("n_tokens"),
+            F.floor(n * (n - 1) / 2).cast("bigint").alias("position_sum"),
+            start.cast("int").alias("first_kv"),
+            (start + n - 1).cast("int").alias("last_q"),
+            F.floor(n * (n + 1) / 2).cast("bigint").alias("n_pairs"),
+        )
+
+    return F.filter(F.transform(zipped, sums), lambda s: s["n_tokens"] > 0)

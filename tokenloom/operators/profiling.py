@@ -46,7 +46,7 @@ def exact_quantiles(df: DataFrame, name: str, value: str, shares: Sequence[float
     needed = needed.filter(F.size("_targets") > 0)
 
     # at most two buckets per quantile and name
-    rows = counts.join(F.broadcast(needed), [name, "_bucket"])
+    rows = counts.join(needed, [name, "_bucket"])
     inside = Window.partitionBy(name, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     hits = ranked.select(name, F.col(value).alias("_x"), "_from", "_n", "_last", F.explode("_targets").alias("q"))

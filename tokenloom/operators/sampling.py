@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions.arrays import array_sum, let
 from tokenloom.functions.hashing import md5_uniform
 from tokenloom.operators.ordering import rank_by_hash, row_total
 
@@ -27,33 +28,65 @@ def split_bernoulli(df: DataFrame, seed: str | int, key: str, test_size: float =
     return df.withColumn("split", F.when(drawn, "train").otherwise("test"))
 
 
-def nucleus_select(probs: DataFrame, row: str, item: str, p: str, top_p: float) -> DataFrame:
-    """Most probable items of each row until their mass before the item passes ``top_p``.
+def by_probability(p: Column) -> Column:
+    """``p, item`` of an array of probabilities, the most probable first, equal ones by item."""
+    pairs = F.transform(p, lambda x, i: F.struct((-x).alias("n"), i.alias("item")))
+    return F.transform(F.array_sort(pairs), lambda s: F.struct((-s["n"]).alias("p"), s["item"].alias("item")))
 
-    The group is one probability vector, bounded by the number of classes.
+
+def normalised(items: Column) -> Column:
+    """``item, p_norm``: the probabilities of the items over their sum."""
+    return let(
+        items,
+        lambda kept: let(
+            array_sum(F.transform(kept, lambda s: s["p"]), "double"),
+            lambda total: F.transform(kept, lambda s: F.struct(s["item"].alias("item"), (s["p"] / total).alias("p_norm"))),
+        ),
+    )
+
+
+def nucleus_select(p: Column, top_p: float) -> Column:
+    """Most probable items of a row until their mass before the item passes ``top_p``, as ``item, p_norm``.
+
+    One pass over the sorted array, which stops growing at the limit; no row moves.
     """
-    order = Window.partitionBy(row).orderBy(F.desc(p), F.col(item))
-    mass = F.sum(p).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = probs.withColumn("_before", mass - F.col(p)).filter(F.col("_before") <= top_p)
-    return kept.withColumn("p_norm", F.col(p) / F.sum(p).over(Window.partitionBy(row))).drop("_before")
+    start = F.struct(F.array().cast("array<struct<p: double, item: int>>").alias("kept"), F.lit(0.0).alias("mass"))
 
+    def add(acc: Column, x: Column) -> Column:
+        grown = F.struct(F.concat(acc["kept"], F.array(x)).alias("kept"), (acc["mass"] + x["p"]).alias("mass"))
+        return F.when(acc["mass"] <= top_p, grown).otherwise(acc)
 
-def topk_with_ties(probs: DataFrame, row: str, item: str, p: str, k: int) -> DataFrame:
-    """All items at least as probable as the k-th largest, renormalised."""
-    kept = probs.withColumn("_rank", F.rank().over(Window.partitionBy(row).orderBy(F.desc(p)))).filter(
-        F.col("_rank") <= k
+    return normalised(F.aggregate(by_probability(p), start, add, lambda acc: acc["kept"]))
+
+
+def at_least_kth(p: Column, k: int) -> Column:
+    """``p, item`` of all items at least as probable as the k-th largest."""
+    return let(
+        by_probability(p),
+        lambda s: F.filter(s, lambda x: x["p"] >= F.get(s, F.least(F.lit(k), F.size(s)) - 1)["p"]),
     )
-    return kept.withColumn("p_norm", F.col(p) / F.sum(p).over(Window.partitionBy(row))).drop("_rank")
-
-
-def categorical_draw(probs: DataFrame, row: str, item: str, p: str, seed: str | int) -> DataFrame:
-    """One weighted draw per row: the first item whose cumulative share passes the row's uniform."""
-    order = Window.partitionBy(row).orderBy(F.desc(p), F.col(item))
-    upto = F.sum(p).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum(p).over(Window.partitionBy(row))
-    hit = probs.withColumn("_upto", upto).withColumn("_total", total)
-    target = md5_uniform(seed, F.col(row)) * F.col("_total")
-    place = F.when(F.col("_upto") > target, F.struct(F.lit(0).alias("late"), F.col("_upto").alias("key"), F.col(item)))
-    # rounding can leave the target at the very end: then the last item is drawn
-    last = F.struct(F.lit(1).alias("late"), (-F.col("_upto")).alias("key"), F.col(item))
-    return hit.groupBy(row).agg(F.min(F.coalesce(place, last))[item].alias(item))
+
+
+def topk_with_ties(p: Column, k: int) -> Column:
+    """All items at least as probable as the k-th largest, renormalised, as ``item, p_norm``."""
+    return normalised(at_least_kth(p, k))
+
+
+def categorical_draw(items: Column, uniform: Column) -> Column:
+    """One weighted draw from ``p, item`` in order: the first item whose cumulative share passes the uniform.
+
+    Rounding can leave the target at the very end: then the last item is drawn.
+    """
+
+    def draw(items: Column, target: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("int").alias("hit"), F.lit(None).cast("int").alias("last"))
+
+        def add(acc: Column, x: Column) -> Column:
+            upto = acc["upto"] + x["p"]
+            hit = F.coalesce(acc["hit"], F.when(upto > target, x["item"]))
+            return F.struct(upto.alias("upto"), hit.alias("hit"), x["item"].alias("last"))
+
+        return F.aggregate(items, start, add, lambda acc: F.coalesce(acc["hit"], acc["last"]))
+
+    total = lambda kept: array_sum(F.transform(kept, lambda s: s["p"]), "double")
+    return let(items, lambda kept: let(uniform * total(kept), lambda target: draw(kept, target)))

@@ -91,8 +91,12 @@ def vocab_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
             F.lit(side == "right").alias("in_right"),
         )
 
-    both = marked(left, "left").unionByName(marked(right, "right"))
-    seen = both.groupBy("piece").agg(F.bool_or("in_left").alias("in_left"), F.bool_or("in_right").alias("in_right"))
+    return placed(marked(left, "left").unionByName(marked(right, "right")))
+
+
+def placed(marks: DataFrame) -> DataFrame:
+    """Where each ``piece`` of ``piece, in_left, in_right`` occurs."""
+    seen = marks.groupBy("piece").agg(F.bool_or("in_left").alias("in_left"), F.bool_or("in_right").alias("in_right"))
     place = F.when(F.col("in_left") & F.col("in_right"), "both").when(F.col("in_left"), "left").otherwise("right")
     return seen.select("piece", place.alias("place"))
 
@@ -142,13 +146,7 @@ def assign_special_slots(vocab: DataFrame, specials: Sequence[str]) -> DataFrame
     )
 
 
-def piece_ids(pieces: DataFrame, vocab: DataFrame, unk_id: int, vocab_limit: int | None = None) -> DataFrame:
-    """Id of every piece, ``unk_id`` for the unknown ones.
-
-    With a vocabulary bounded by ``vocab_limit`` the lookup needs no exchange of
-    the pieces; otherwise both sides are shuffled and Spark splits hot keys.
-    """
+def piece_ids(pieces: DataFrame, vocab: DataFrame, unk_id: int) -> DataFrame:
+    """Id of every piece, ``unk_id`` for the unknown ones; Spark chooses the join by the size it measures."""
     side = vocab.select("piece", F.col("id").alias("_id"))
-    if vocab_limit is not None and vocab_limit <= 200_000:
-        side = F.broadcast(side)
     return pieces.join(side, "piece", "left").withColumn("id", F.coalesce("_id", F.lit(unk_id))).drop("_id")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import arrays as ar
 from tokenloom.functions import tokens as tk
 from tokenloom.functions import vectors as vc
+from tokenloom.functions.hashing import md5_uniform
 from tokenloom.operators import batching as bt
 from tokenloom.operators import evaluation as ev
 from tokenloom.operators import profiling as pf
@@ -175,8 +176,11 @@ items AS (SELECT vec_id, generate_subscripts(p, 1) - 1 AS item, unnest(p) AS p F
 
 
 def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = ar.softmax(F.col("embedding"), 0.7)
-    return vectors(spark, sf_dir).select("vec_id", F.posexplode(p).alias("item", "p"))
+    return vectors(spark, sf_dir).select("vec_id", ar.softmax(F.col("embedding"), 0.7).alias("p"))
+
+
+def _exploded(rows: DataFrame, items) -> DataFrame:
+    return rows.select("vec_id", F.explode(items).alias("x")).select("vec_id", "x.item", "x.p_norm")
 
 
 @register(
@@ -214,7 +218,7 @@ def softmax_entropy(spark, sf_dir):
         SELECT vec_id, CAST(item AS INT) AS item, round(p / sum(p) OVER (PARTITION BY vec_id), 6) AS p_norm FROM k""",
 )
 def nucleus_select(spark, sf_dir):
-    return rounded(sp.nucleus_select(probabilities(spark, sf_dir), "vec_id", "item", "p", 0.4).drop("p"))
+    return rounded(_exploded(probabilities(spark, sf_dir), sp.nucleus_select(F.col("p"), 0.4)))
 
 
 @register(
@@ -223,7 +227,7 @@ def nucleus_select(spark, sf_dir):
         SELECT vec_id, CAST(item AS INT) AS item, round(p / sum(p) OVER (PARTITION BY vec_id), 6) AS p_norm FROM k""",
 )
 def topk_with_ties(spark, sf_dir):
-    return rounded(sp.topk_with_ties(probabilities(spark, sf_dir), "vec_id", "item", "p", 5).drop("p"))
+    return rounded(_exploded(probabilities(spark, sf_dir), sp.topk_with_ties(F.col("p"), 5)))
 
 
 @register(
@@ -234,8 +238,8 @@ def topk_with_ties(spark, sf_dir):
         SELECT vec_id, CAST(arg_min(item, upto) AS INT) AS item FROM c WHERE upto > {sql_uniform(SEED, 'vec_id')} * total GROUP BY vec_id""",
 )
 def categorical_draw(spark, sf_dir):
-    top = sp.topk_with_ties(probabilities(spark, sf_dir), "vec_id", "item", "p", 5)
-    return sp.categorical_draw(top, "vec_id", "item", "p", SEED)
+    drawn = sp.categorical_draw(sp.at_least_kth(F.col("p"), 5), md5_uniform(SEED, F.col("vec_id")))
+    return probabilities(spark, sf_dir).select("vec_id", drawn.alias("item"))
 
 
 # ---- profiles ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from tokenloom.operators import corpus as cp
 from tokenloom.operators import ordering as od
 from tokenloom.operators import sampling as sp
 from tokenloom.plans.catalog import register, sql_uniform, table
-from tokenloom.session import scratch_path
+from tokenloom.session import scan_partitions, scratch_path
 from tokenloom.sources import readers, writers
 
 LANGS = ["en", "fr", "de", "es"]
@@ -44,8 +44,8 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def heavy_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents for CPU-heavy work: a scan with few splits is spread over the cores."""
-    return od.spread(documents(spark, sf_dir, *columns))
+    """Documents for CPU-heavy work, dealt out as the session's ``spark.tokenloom.scanPartitions`` says."""
+    return od.spread(documents(spark, sf_dir, *columns), scan_partitions(spark))
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +271,7 @@ def sink_jsonl_chunks(spark, sf_dir):
 
 @register(
     "sink_round_robin_chunks",
-    f"""SELECT doc_id, rank, CAST(rank % 32 AS INT) AS chunk, 'chunk.' || lpad(CAST(rank % 32 AS VARCHAR), 2, '0') || '.jsonl' AS file
+    f"""SELECT doc_id, rank, CAST(rank % 32 AS INT) AS chunk, 'chunk.' || printf('%02d', rank % 32) || '.jsonl' AS file
         FROM (SELECT doc_id, {RANK} AS rank FROM documents)""",
 )
 def sink_round_robin_chunks(spark, sf_dir):
@@ -314,8 +314,7 @@ def sink_metric_append(spark, sf_dir):
 )
 def sink_first_n_docs(spark, sf_dir):
     """The reader stops after writing index N, so N + 1 documents are kept."""
-    ranked = od.rank_by_id(documents(spark, sf_dir, "doc_id"), "doc_id", "row_idx")
-    return ranked.filter(F.col("row_idx") <= 500).withColumn(
+    return od.slice_rows(documents(spark, sf_dir, "doc_id"), "doc_id", 0, 501).withColumn(
         "shard_no", F.floor(F.col("row_idx") / 100).cast("bigint")
     )
 
@@ -503,7 +502,7 @@ def train_test_split_bernoulli(spark, sf_dir):
 )
 def range_split(spark, sf_dir):
     """Training rows [0, 600) and validation rows [601, 900); the row between belongs to neither."""
-    ranked = od.rank_by_id(documents(spark, sf_dir, "doc_id"), "doc_id", "row_idx")
+    ranked = od.slice_rows(documents(spark, sf_dir, "doc_id"), "doc_id", 0, 900)
     row = F.col("row_idx")
     split = F.when(row < 600, "train").when((row >= 601) & (row < 900), "validation")
     return ranked.withColumn("split", split).filter(F.col("split").isNotNull())

@@ -351,10 +351,8 @@ def segment_starts(spark, sf_dir):
                CAST(n * (n - 1) / 2 AS BIGINT) AS position_sum FROM q""",
 )
 def segment_local_ids(spark, sf_dir):
-    rows = _lengths(spark, sf_dir).select("batch", F.explode(pk.local_ids(F.col("lengths"))).alias("x"))
-    return rows.groupBy("batch", F.col("x.segment").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("x.position").alias("position_sum")
-    )
+    rows = _lengths(spark, sf_dir).select("batch", F.explode(pk.segment_sums(F.col("lengths"))).alias("x"))
+    return rows.select("batch", "x.segment", "x.n_tokens", "x.position_sum")
 
 
 @register(
@@ -364,12 +362,8 @@ def segment_local_ids(spark, sf_dir):
 )
 def segment_visible_pairs(spark, sf_dir):
     """Visible (query, key) pairs as one key range per query, counted per segment."""
-    rows = _lengths(spark, sf_dir).select("batch", F.explode(pk.visible_ranges(F.col("lengths"))).alias("x"))
-    return rows.groupBy("batch", F.col("x.segment").alias("segment")).agg(
-        F.min("x.first_kv").alias("first_kv"),
-        F.max("x.q").alias("last_q"),
-        F.sum("x.n_visible").cast("bigint").alias("n_pairs"),
-    )
+    rows = _lengths(spark, sf_dir).select("batch", F.explode(pk.segment_sums(F.col("lengths"))).alias("x"))
+    return rows.select("batch", "x.segment", "x.first_kv", "x.last_q", "x.n_pairs")
 
 
 @register(

@@ -17,10 +17,11 @@ from tokenloom.operators.registry import build_tokenizer
 from tokenloom.operators.ordering import spread
 from tokenloom.plans.catalog import register, table
 from tokenloom.plans.corpus import documents, heavy_documents
-from tokenloom.session import scratch_path
+from tokenloom.session import scan_partitions, scratch_path
 from tokenloom.sources import readers, writers
 
 N_MERGES = 64
+LONGEST_LINE = 64_000  # bytes; longer lines of the training files are left out
 WHITE = tx.WHITE
 
 # The pre-token pattern for an engine without look-ahead.  A mark is put before the
@@ -137,7 +138,7 @@ _SPECIAL_SQL = "|".join(SPECIALS)
 )
 def split_special_tokens(spark, sf_dir):
     tokens = tx.split_specials(F.col("html"), SPECIALS)
-    return spread(table(spark, sf_dir, "pages")).select("page_id", F.posexplode(tokens).alias("pos", "token"))
+    return spread(table(spark, sf_dir, "pages"), scan_partitions(spark)).select("page_id", F.posexplode(tokens).alias("pos", "token"))
 
 
 # ---- alphabets and frequency vocabularies --------------------------------------------
@@ -195,7 +196,8 @@ def argmax_per_group(spark, sf_dir):
 @register("bpe_train_merges")
 def bpe_train_merges(spark, sf_dir):
     """Merges over normalised, ▁-marked words; characters outside the covered alphabet fall back to bytes."""
-    docs = texts(spark, sf_dir).filter(F.octet_length("text") <= 64_000)
+    lines = texts(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("text"))
+    docs = lines.filter(F.octet_length("text") <= LONGEST_LINE)
     alphabet = vb.coverage_alphabet(vb.char_counts(docs, tx.normalize_for_vocab(F.col("text"))), 0.9995)
     chars = [r[0] for r in alphabet.select("ch").collect()]  # bounded by the number of code points
     words = vb.word_counts(docs, tx.vocab_words(F.col("text")))
@@ -243,7 +245,7 @@ def bpe_detokenize(spark, sf_dir):
 def encode_show_work(spark, sf_dir):
     work = bpe.show_work_udtf(byte_merges(spark, sf_dir), SPECIALS)
     spark.udtf.register("show_work", work)
-    pages = spread(table(spark, sf_dir, "pages")).select("page_id", tx.split_specials(F.col("html"), SPECIALS).alias("tokens"))
+    pages = spread(table(spark, sf_dir, "pages"), scan_partitions(spark)).select("page_id", tx.split_specials(F.col("html"), SPECIALS).alias("tokens"))
     return pages.lateralJoin(work(F.col("tokens").outer())).select(
         "page_id",
         "n",
@@ -310,14 +312,7 @@ def word_vocab(spark, sf_dir) -> DataFrame:
 )
 def piece_id_lookup(spark, sf_dir):
     pieces = space_words(texts(spark, sf_dir)).withColumnRenamed("word", "piece")
-    return vb.piece_ids(pieces, word_vocab(spark, sf_dir), -1, vocab_limit=2000)
-
-
-def _sides(spark, sf_dir, lang: str) -> DataFrame:
-    docs = heavy_documents(spark, sf_dir, "lang", "text").filter(F.col("lang") == lang)
-    return vb.word_counts(docs, F.split(tx.normalize_for_vocab(F.col("text"), dummy_prefix=False), tx.SPACE_MARK)).select(
-        F.concat(F.lit(tx.SPACE_MARK), "word").alias("piece")
-    )
+    return vb.piece_ids(pieces, word_vocab(spark, sf_dir), -1)
 
 
 @register(
@@ -328,7 +323,12 @@ def _sides(spark, sf_dir, lang: str) -> DataFrame:
         FROM a FULL JOIN b ON a.piece = b.piece""",
 )
 def vocab_overlap(spark, sf_dir):
-    return vb.vocab_overlap(_sides(spark, sf_dir, "en"), _sides(spark, sf_dir, "fr"))
+    """Both languages in one scan."""
+    docs = heavy_documents(spark, sf_dir, "lang", "text").filter(F.col("lang").isin("en", "fr"))
+    words = F.split(tx.normalize_for_vocab(F.col("text"), dummy_prefix=False), tx.SPACE_MARK)
+    piece = F.concat(F.lit(" "), F.col("word"))
+    rows = docs.select("lang", F.explode(words).alias("word"))
+    return vb.placed(rows.select(piece.alias("piece"), (F.col("lang") == "en").alias("in_left"), (F.col("lang") == "fr").alias("in_right")))
 
 
 _NUMBERS = """n AS (SELECT i + 1 AS no, lpad(CAST(i AS VARCHAR), 2, '0') AS piece FROM range(100) t(i)
@@ -412,7 +412,7 @@ SYMBOL_RUNS = "</?[a-z0-9_]+>|[0-9]+|\\n+|\\t|\\[@BOS@\\]"
 )
 def symbols_table(spark, sf_dir):
     """The symbol inventory with the number of times each symbol stands in the pages."""
-    runs = spread(table(spark, sf_dir, "pages")).select(
+    runs = spread(table(spark, sf_dir, "pages"), scan_partitions(spark)).select(
         F.explode(F.regexp_extract_all("html", F.lit(SYMBOL_RUNS), F.lit(0))).alias("symbol")
     )
     used = runs.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))

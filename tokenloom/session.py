@@ -20,6 +20,7 @@ def build_session(app: str = "tokenloom", cores: str = "8", shuffle_partitions:
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.tokenloom.scanPartitions", cores if cores.isdigit() else "")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -27,6 +28,12 @@ def build_session(app: str = "tokenloom", cores: str = "8", shuffle_partitions:
     )
 
 
+def scan_partitions(spark: SparkSession) -> int | None:
+    """How many tasks a CPU-heavy scan is dealt to; unset leaves the splits of the files as they are."""
+    number = spark.conf.get("spark.tokenloom.scanPartitions", None)
+    return int(number) if number else None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -38,11 +38,8 @@ def write_line_counts(counts: DataFrame, path: str, group: str = "lang", count:
     counts.select(F.col(group), line).write.mode("overwrite").partitionBy(group).text(path)
 
 
-def write_jsonl(df: DataFrame, path: str, tasks: int = 64) -> None:
-    """Uncompressed JSON lines, written by at least ``tasks`` tasks.
-
-    Only a scan with fewer splits is exchanged; a large one is written as it is read.
-    """
+def write_jsonl(df: DataFrame, path: str, tasks: int | None = 64) -> None:
+    """Uncompressed JSON lines, written by ``tasks`` tasks; None writes them as they are read."""
     spread(df, tasks).write.mode("overwrite").option("compression", "none").json(path)
 
 
@@ -53,7 +50,8 @@ def round_robin_chunks(df: DataFrame, key: str, seed: str | int, n_chunks: int)
 
 
 def chunk_name(prefix: str, suffix: str, chunk: str = "chunk"):
-    return F.concat(F.lit(prefix), F.lpad(F.col(chunk).cast("string"), 2, "0"), F.lit(suffix))
+    """At least two digits; larger numbers keep all of theirs."""
+    return F.concat(F.lit(prefix), F.format_string("%02d", F.col(chunk).cast("bigint")), F.lit(suffix))
 
 
 def write_snapshot(df: DataFrame, path: str, split: str = "split") -> None:

@@ -155,7 +155,7 @@ def pack_step(
         spark = batch.sparkSession
         before = _carried(spark, state, batch_id, schema)
         placed = offset_by_id(batch.withColumn("_n", n_tokens), F.col("_n"), key, "_start", [shard])
-        base = F.broadcast(before.select(shard, "seen"))  # one row per shard
+        base = before.select(shard, "seen")
         fresh = placed.join(base, shard, "left").select(
             shard,
             (F.coalesce("seen", F.lit(0)) + F.col("_start")).alias("s"),
@@ -170,7 +170,7 @@ def pack_step(
         seen = before.select(shard, "seen").unionByName(sizes).groupBy(shard).agg(F.sum("seen").alias("seen"))
         done = F.when(F.col("seen") >= length, F.floor((F.col("seen") - length) / step_size) + 1).otherwise(0)
         ends = seen.withColumn("_from", (done * step_size).cast("bigint"))
-        tails = stream.join(F.broadcast(ends), shard).filter(F.col("s") + F.size("t") > F.col("_from"))
+        tails = stream.join(ends, shard).filter(F.col("s") + F.size("t") > F.col("_from"))
         cut = F.greatest(F.col("_from") - F.col("s"), F.lit(0))
         pieces = tails.select(shard, F.struct("s", slice_from(F.col("t"), cut, F.size("t") - cut).alias("p")).alias("x"))
         rest = pieces.groupBy(shard).agg(F.flatten(F.array_sort(F.collect_list("x"))["p"]).alias("rest"))

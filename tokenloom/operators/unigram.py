@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 NEG_INF = float("-inf")
 
 
-def seed_pieces(words: DataFrame, n_seeds: int, longest: int = 8) -> DataFrame:
+def seed_pieces(words: DataFrame, n_seeds: int, longest: int = 8, min_count: int = 2) -> DataFrame:
     """Candidate pieces of ``words(word, cnt)``: all characters, and the substrings
     of two or more characters with the largest count * length."""
     n = F.length("word")
@@ -33,7 +33,7 @@ def seed_pieces(words: DataFrame, n_seeds: int, longest: int = 8) -> DataFrame:
     )
     single = counts.filter(F.length("piece") == 1)
     longer = (
-        counts.filter((F.length("piece") > 1) & (F.col("cnt") > 1))
+        counts.filter((F.length("piece") > 1) & (F.col("cnt") >= min_count))
         .orderBy(F.desc(F.col("cnt") * F.length("piece")), "piece")
         .limit(n_seeds)
     )
@@ -89,24 +89,42 @@ def expectation(words: DataFrame, scores: dict[str, float]) -> DataFrame:
     return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
 
 
-def train_unigram(words: DataFrame, vocab_size: int, n_seeds: int, rounds: int = 4, keep: float = 0.75) -> DataFrame:
-    """Pieces with log probabilities.
-
-    Each round re-estimates the probabilities and keeps the most used share of
-    the longer pieces, down to ``vocab_size``; characters always stay, so every
-    word keeps a segmentation.
+def train_unigram(
+    words: DataFrame,
+    vocab_size: int,
+    n_seeds: int,
+    rounds: int = 1,
+    keep: float = 0.75,
+    longest: int = 8,
+    min_count: int = 2,
+) -> DataFrame:
+    """Pieces with log probabilities, pruned step by step until at most ``vocab_size`` are left.
+
+    Parameters of the method: ``longest`` characters of a piece; ``n_seeds`` candidates of two or more
+    characters, seen ``min_count`` times or more; ``rounds`` re-estimations before each pruning and after the
+    last one; ``keep``, the share of the longer pieces that a pruning leaves.  Characters always stay, so every
+    word keeps a segmentation (and a vocabulary has at least one piece per character).
     """
-    table = {r[0]: r[1] for r in seed_pieces(words, n_seeds).collect()}  # bounded: characters + n_seeds
+    seeds = seed_pieces(words, n_seeds, longest, min_count)
+    table = {r[0]: r[1] for r in seeds.collect()}  # bounded: characters + n_seeds
     total = sum(table.values())
     scores = {p: math.log(c / total) for p, c in table.items()}
-    for turn in range(rounds):
-        use = {r[0]: r[1] for r in expectation(words, scores).collect()}
-        chars = [p for p in scores if len(p) == 1]
-        longer = sorted((p for p in use if len(p) > 1), key=lambda p: (-use[p], p))
-        room = max(vocab_size - len(chars), 0)
-        size = room if turn == rounds - 1 else max(room, int(len(longer) * keep))
-        kept = {p: max(use.get(p, 0.0), 1e-3) for p in [*chars, *longer[:size]]}
-        total = sum(kept.values())
-        scores = {p: math.log(c / total) for p, c in kept.items()}
+    chars = [p for p in scores if len(p) == 1]
+    room = max(vocab_size - len(chars), 0)
+
+    def estimated(kept: list[str], use: dict[str, float]) -> dict[str, float]:
+        shares = {p: max(use.get(p, 0.0), 1e-3) for p in [*chars, *kept]}
+        total = sum(shares.values())
+        return {p: math.log(c / total) for p, c in shares.items()}
+
+    while True:
+        use: dict[str, float] = {}
+        for _ in range(rounds):
+            use = {r[0]: r[1] for r in expectation(words, scores).collect()}
+            scores = estimated([p for p in scores if len(p) > 1], use)
+        longer = sorted((p for p in scores if len(p) > 1), key=lambda p: (-use.get(p, 0.0), p))
+        if len(longer) <= room:
+            break
+        scores = estimated(longer[: max(room, min(int(len(longer) * keep), len(longer) - 1))], use)
     rows = [(p, float(s)) for p, s in sorted(scores.items(), key=lambda x: (-x[1], x[0]))]
     return words.sparkSession.createDataFrame(rows, "piece string, score double")

@@ -208,7 +208,7 @@ def bpe_train_merges(spark, sf_dir):
 @register("unigram_vocab_em")
 def unigram_vocab_em(spark, sf_dir):
     words = vb.word_counts(texts(spark, sf_dir), tx.vocab_words(F.col("text")))
-    trained = unigram.train_unigram(words.persist(), vocab_size=400, n_seeds=1500, rounds=3)
+    trained = unigram.train_unigram(words.persist(), vocab_size=400, n_seeds=1500)
     words.unpersist()
     return trained.select("piece", F.round("score", 4).alias("score"))
 

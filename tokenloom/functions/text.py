@@ -113,11 +113,11 @@ def normalize_for_vocab(text: Column, as_suffix: bool = False, dummy_prefix: boo
 
 
 # Runs of one script; a digit stands alone.
-_SCRIPTS = "Latin Greek Cyrillic Han Hiragana Katakana Hangul Arabic Hebrew Devanagari Thai".split()
-_RUNS = "|".join(f"\\p{{Is{s}}}+" for s in _SCRIPTS)
+SCRIPTS = "Latin Greek Cyrillic Han Hiragana Katakana Hangul Arabic Hebrew Devanagari Thai".split()
+_RUNS = "|".join(f"\\p{{Is{s}}}+" for s in SCRIPTS)
 VOCAB_PIECE_PATTERN = (
     f"{SPACE_MARK}?(?:\\p{{N}}|{_RUNS}|[^{SPACE_MARK}\\p{{N}}"
-    + "".join(f"\\p{{Is{s}}}" for s in _SCRIPTS)
+    + "".join(f"\\p{{Is{s}}}" for s in SCRIPTS)
     + f"]+)|{SPACE_MARK}"
 )
 

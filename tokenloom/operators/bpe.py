@@ -5,7 +5,6 @@ A word is an array of symbols, so no character of a text has a meaning of its ow
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 from tokenloom.functions.arrays import let
 from tokenloom.functions.bytechars import byte_chars, from_byte_chars, to_byte_chars
 from tokenloom.functions.text import pretokens
-from tokenloom.session import ensure_checkpoint_dir
+from tokenloom.session import written
 
 Merge = tuple[str, str]
 
@@ -136,39 +135,33 @@ def train_merges(
     """Ordered merges of ``words(symbols, cnt)``.
 
     All pairs are counted once.  A pass fetches the ``candidates`` best ones, takes every merge that is certain
-    to come next, and adds to the counts what changes in the words that hold a taken pair.  The changes are
-    checkpointed every pass; words and counts every ``passes_per_checkpoint`` passes, so no plan grows on.
+    to come next, and adds to the counts what changes in the words that hold a taken pair.  The counts are
+    written to the shared folder every pass, the words every ``passes_per_checkpoint`` passes, so no plan grows on.
     """
-    spark = words.sparkSession
-    ensure_checkpoint_dir(spark)
     # a fixed number of partitions: the table is small in bytes but its passes are CPU work
-    state = words.select("symbols", "cnt").repartition(spark.sparkContext.defaultParallelism).checkpoint()
-    counts = pair_counts(state).checkpoint()
-    changes: list[DataFrame] = []
+    tasks = words.sparkSession.sparkContext.defaultParallelism
+    state = written(words.select("symbols", "cnt").repartition(tasks), "bpe-words")
+    counts = written(pair_counts(state), "bpe-pairs")
     merges: list[Merge] = []
-    applied = 0
+    applied = passes = 0
     existing: set[str] = set()
     while len(merges) < n_merges:
-        now = counts
-        if changes:
-            for part in changes:
-                now = now.unionByName(part)
-            now = now.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0")
-        counted = now.filter(F.col("cnt") >= min_count)
+        counted = counts.filter(F.col("cnt") >= min_count)
         rows = counted.orderBy(F.desc("cnt"), "left", "right").select("left", "right", "cnt").limit(candidates).collect()
         head = independent_head([tuple(r) for r in rows], existing, len(rows) < candidates)
         head = head[: n_merges - len(merges)]
         if not head:
             break
         if len(merges) + len(head) < n_merges:
-            changes.append(_changes(state, merges[applied:], head).checkpoint())
+            both = counts.unionByName(_changes(state, merges[applied:], head))
+            both = both.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0")
+            counts = written(both, "bpe-pairs")
         merges += head
         existing |= {a + b for a, b in head}
-        if len(changes) >= passes_per_checkpoint:
-            counts = counts.unionByName(functools.reduce(DataFrame.unionByName, changes))
-            counts = counts.groupBy("left", "right").agg(F.sum("cnt").alias("cnt")).filter("cnt > 0").checkpoint()
-            state = apply_merges(state, merges[applied:]).checkpoint()
-            applied, changes = len(merges), []
+        passes += 1
+        if passes % passes_per_checkpoint == 0:
+            state = written(apply_merges(state, merges[applied:]), "bpe-words")
+            applied = len(merges)
     return merges
 
 

@@ -15,7 +15,7 @@ from tokenloom.operators import unigram
 from tokenloom.operators import vocab as vb
 from tokenloom.operators.registry import build_tokenizer
 from tokenloom.operators.ordering import spread
-from tokenloom.plans.catalog import register, table
+from tokenloom.plans.catalog import register, sql_checksum, table
 from tokenloom.plans.corpus import documents, heavy_documents
 from tokenloom.session import scan_partitions, scratch_path
 from tokenloom.sources import readers, writers
@@ -59,6 +59,54 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy_documents(spark, sf_dir, "text")
 
 
+def sql_quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def sql_symbols(symbols: str) -> str:
+    """A list of symbols as one string, each symbol between two marks that no text here holds."""
+    return f"array_to_string(list_transform({symbols}, lambda c: chr(1) || c || chr(1)), '')"
+
+
+def sql_parts(sym: str) -> str:
+    return f"string_split(trim({sym}, chr(1)), chr(1) || chr(1))"
+
+
+def sql_training(start: str, steps: int) -> str:
+    """Tables ``t`` (the words after every step) and ``m`` (the merges), one merge at a time from ``start(word, cnt, sym)``."""
+    return f"""t AS (SELECT 0 AS step, word, cnt, sym, '' AS l, '' AS r FROM ({start})
+      UNION ALL
+      SELECT step + 1, word, cnt, replace(sym, chr(1) || b.l || chr(1) || chr(1) || b.r || chr(1), chr(1) || b.l || b.r || chr(1)), b.l, b.r
+      FROM t, (SELECT p[1] AS l, p[2] AS r, sum(cnt) AS n FROM (
+          SELECT cnt, unnest(list_zip(s[:-2], s[2:])) AS p FROM (SELECT cnt, {sql_parts('sym')} AS s FROM t) WHERE len(s) > 1)
+        GROUP BY ALL ORDER BY n DESC, l, r LIMIT 1) b
+      WHERE step < {steps}),
+    m AS (SELECT DISTINCT CAST(step - 1 AS INT) AS rank, l, r FROM t WHERE step > 0)"""
+
+
+_BYTE_CHARS = "[" + ", ".join(sql_quoted(c) for c in bc.byte_chars()) + "]"
+
+
+def sql_shown(text: str) -> str:
+    """List of the printable characters of a text's bytes."""
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: {_BYTE_CHARS}[('0x' || h)::INT + 1])"
+
+
+# Merges over the documents' bytes, the pieces in id order and the parts of every word.
+_BYTE_TRAINING = f"""w AS (SELECT word, count(*) AS cnt FROM (SELECT unnest({sql_pretokens('text')}) AS word FROM documents) GROUP BY word),
+    {sql_training(f"SELECT word, cnt, {sql_symbols(sql_shown('word'))} AS sym FROM w", N_MERGES)},
+    pieces AS (SELECT piece, CAST(row_number() OVER (ORDER BY ord) - 1 AS INT) AS id FROM (
+      SELECT piece, min(ord) AS ord FROM (
+        SELECT unnest({_BYTE_CHARS}) AS piece, generate_subscripts({_BYTE_CHARS}, 1) AS ord UNION ALL SELECT l || r, 257 + rank FROM m)
+      GROUP BY piece)),
+    ids AS (SELECT map(list(piece), list(id)) AS id_of FROM pieces),
+    coded AS (SELECT word, list_transform({sql_parts('sym')}, lambda p: id_of[p]) AS c FROM t, ids WHERE step = (SELECT max(step) FROM t))"""
+_ENCODED_SQL = f"""WITH RECURSIVE {_BYTE_TRAINING},
+    placed AS (SELECT doc_id, generate_subscripts(p, 1) AS pos, unnest(p) AS word FROM (SELECT doc_id, {sql_pretokens('text')} AS p FROM documents)),
+    whole AS (SELECT doc_id, flatten(list(c ORDER BY pos)) AS c FROM placed JOIN coded USING (word) GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(len(c), 0) AS INT) AS n_tokens, coalesce({sql_checksum('c')}, 0) AS check_sum
+    FROM documents LEFT JOIN whole USING (doc_id)"""
+
 _TRAINED: dict[tuple, list] = {}
 
 
@@ -193,7 +241,22 @@ def argmax_per_group(spark, sf_dir):
     return bpe.best_pair(bpe.pair_counts(_char_state(spark, sf_dir)))
 
 
-@register("bpe_train_merges")
+# Scripts by the names that the other engine knows.
+_SCRIPT_RUNS = "|".join(f"\\p{{{name}}}+" for name in tx.SCRIPTS)
+_PIECE_SQL = f"▁?(?:\\p{{N}}|{_SCRIPT_RUNS}|[^▁\\p{{N}}{''.join(f'\\p{{{name}}}' for name in tx.SCRIPTS)}]+)|▁"
+_LINE_TRAINING = f"""lines AS (SELECT unnest(string_split(text, chr(10))) AS text FROM documents),
+    flat AS (SELECT '▁' || replace(regexp_replace(regexp_replace(text, '[{WHITE}]+', ' ', 'g'), '^ | \\z', '', 'g'), ' ', '▁') AS text
+             FROM lines WHERE strlen(text) <= {LONGEST_LINE}),
+    ch AS (SELECT c, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS c FROM flat) GROUP BY c),
+    known AS (SELECT list(c) AS cs FROM (
+      SELECT c, sum(n) OVER (ORDER BY n DESC, c ROWS UNBOUNDED PRECEDING) - n AS before, sum(n) OVER () AS total FROM ch) WHERE before < 0.9995 * total),
+    w AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, '{_PIECE_SQL}')) AS word FROM flat) GROUP BY word),
+    {sql_training("SELECT word, cnt, " + sql_symbols(
+        "flatten(list_transform(regexp_extract_all(word, '(?s).'), lambda c: CASE WHEN list_contains(cs, c) THEN [c] "
+        "ELSE list_transform(regexp_extract_all(hex(encode(c)), '..'), lambda h: '<0x' || h || '>') END))") + " AS sym FROM w, known", N_MERGES)}"""
+
+
+@register("bpe_train_merges", f'WITH RECURSIVE {_LINE_TRAINING} SELECT rank, l AS "left", r AS "right" FROM m')
 def bpe_train_merges(spark, sf_dir):
     """Merges over normalised, ▁-marked words; characters outside the covered alphabet fall back to bytes."""
     lines = texts(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("text"))
@@ -220,13 +283,13 @@ def _summary(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.size("ids").alias("n_tokens"), checksum(F.col("ids")).alias("check_sum"))
 
 
-@register("bpe_encode")
+@register("bpe_encode", _ENCODED_SQL)
 def bpe_encode(spark, sf_dir):
     ids = bpe.encode_text(spark, F.col("text"), byte_merges(spark, sf_dir))
     return _summary(heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", ids.alias("ids")))
 
 
-@register("tokenize_by_distinct_word")
+@register("tokenize_by_distinct_word", _ENCODED_SQL)
 def tokenize_by_distinct_word(spark, sf_dir):
     docs = heavy_documents(spark, sf_dir, "doc_id", "text")
     return _summary(bpe.encode_by_join(docs, "doc_id", tx.pretokens(F.col("text")), byte_merges(spark, sf_dir)))
@@ -272,7 +335,11 @@ def tokenizer_registry(spark, sf_dir):
     return talk.select("conv_id", "turn", F.explode(sizes).alias("s")).select("conv_id", "turn", "s.*")
 
 
-@register("recover_merges")
+@register(
+    "recover_merges",
+    f"""WITH RECURSIVE {_BYTE_TRAINING}
+        SELECT id AS rank, arg_min(l, rank) AS "left", arg_min(r, rank) AS "right" FROM m JOIN pieces ON piece = l || r WHERE id > 255 GROUP BY id""",
+)
 def recover_merges(spark, sf_dir):
     """The pair behind every ranked token; equals the trained merges."""
     merges = byte_merges(spark, sf_dir)
@@ -420,7 +487,11 @@ def symbols_table(spark, sf_dir):
     return symbols.join(used, "symbol", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-@register("vocab_merges_tables")
+@register(
+    "vocab_merges_tables",
+    f"""WITH RECURSIVE {_BYTE_TRAINING}
+        SELECT 'vocab' AS kind, id AS n, piece, '' AS "right" FROM pieces UNION ALL SELECT 'merge', rank, l, r FROM m""",
+)
 def vocab_merges_tables(spark, sf_dir):
     """A trained tokenizer written as one JSON document and read back as two tables."""
     merges = byte_merges(spark, sf_dir)

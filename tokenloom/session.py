@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tokenloom", cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -51,13 +51,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    path = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one run of one writer."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: it cuts the plan and outlives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -125,8 +125,9 @@ def _changes(words: DataFrame, before: Sequence[Merge], head: Sequence[Merge]) -
     old = apply_merges(held, before) if before else held
     new = apply_merges(old, head, "now")
     changed = new.filter(F.col("now") != F.col("symbols"))
-    gained = changed.select(F.col("now").alias("symbols"), "cnt")
-    return pair_counts(gained.unionByName(changed.select("symbols", (-F.col("cnt")).alias("cnt"))))
+    gained = F.struct(F.col("now").alias("symbols"), F.col("cnt").alias("cnt"))
+    lost = F.struct(F.col("symbols").alias("symbols"), (-F.col("cnt")).alias("cnt"))
+    return pair_counts(changed.select(F.explode(F.array(gained, lost)).alias("w")).select("w.*"))
 
 
 def train_merges(

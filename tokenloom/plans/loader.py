@@ -278,7 +278,30 @@ def fill_in_middle(spark, sf_dir):
     return rows.select("doc_id", F.size("t").alias("n_tokens"), checksum(F.col("t")).alias("check_sum"))
 
 
-@register("fill_in_middle_chunks")
+def _sql_fim_pieces(rate: float) -> str:
+    """Every piece of a window by itself: three tokens come off its suffix, and it stays as it is where they cannot."""
+    key = "shard || ':' || window_id || ':' || piece_no"
+    cut = "CAST(floor({u} * (n + 1)) AS BIGINT)"
+    a = cut.format(u=sql_uniform(f"{SEED}/cut-a", key))
+    b = cut.format(u=sql_uniform(f"{SEED}/cut-b", key))
+    return f"""
+        WITH {STREAM_SQL},
+        whole AS (SELECT shard, window_id, list(tok ORDER BY i) AS t FROM w JOIN full_windows USING (shard, window_id) GROUP BY ALL),
+        ends AS (SELECT *, list_distinct(list_concat(list_filter(range(1, len(t) + 1), lambda i: t[i] = 257), [len(t)])) AS e FROM whole),
+        stops AS (SELECT *, list_concat([0], list_sort(e)) AS stop FROM ends),
+        spans AS (SELECT shard, window_id, t, stop, unnest(range(0, len(stop) - 1)) AS piece_no FROM stops),
+        pieces AS (SELECT shard, window_id, piece_no, t[stop[piece_no + 1] + 1 : stop[piece_no + 2]] AS p FROM spans),
+        bodies AS (SELECT *, CASE WHEN p[1] = 256 THEN [256] ELSE [] END AS head, CASE WHEN p[-1] = 257 THEN [257] ELSE [] END AS tail,
+               p[CASE WHEN p[1] = 256 THEN 2 ELSE 1 END : CASE WHEN p[-1] = 257 THEN len(p) - 1 ELSE len(p) END] AS body FROM pieces),
+        c AS (SELECT *, len(body) AS n, {sql_uniform(f'{SEED}/apply', key)} < {rate} AND len(p) >= 3 AS chosen FROM bodies),
+        k AS (SELECT *, least({a}, {b}) AS lo, greatest({a}, {b}) AS hi FROM c),
+        r AS (SELECT shard, window_id, piece_no, CASE WHEN chosen AND n - hi > 3
+            THEN list_concat(head, [258], body[1:lo], [259], body[hi + 1:n - 3], [260], body[lo + 1:hi], tail) ELSE p END AS p FROM k),
+        o AS (SELECT shard, window_id, flatten(list(p ORDER BY piece_no)) AS t FROM r GROUP BY ALL)
+        SELECT shard, window_id, CAST(len(t) AS INT) AS n_tokens, {sql_checksum('t')} AS check_sum FROM o"""
+
+
+@register("fill_in_middle_chunks", _sql_fim_pieces(0.5))
 def fill_in_middle_chunks(spark, sf_dir):
     """Content mode: after packing, per document piece of a window, keeping the window's length."""
     pieces = packed_windows(spark, sf_dir).select(

@@ -304,7 +304,26 @@ def bpe_detokenize(spark, sf_dir):
     return rows.select("doc_id", bpe.decode_ids(spark, F.col("ids"), merges).alias("text"))
 
 
-@register("encode_show_work")
+@register(
+    "encode_show_work",
+    f"""WITH RECURSIVE {_BYTE_TRAINING},
+        parts AS (SELECT page_id, generate_subscripts(p, 1) AS part_no, unnest(p) AS part FROM (
+            SELECT page_id, string_split(regexp_replace(html, '({_SPECIAL_SQL})', chr(2) || '\\1' || chr(2), 'g'), chr(2)) AS p FROM pages)),
+        cut AS (SELECT page_id, part_no, CASE WHEN part IN ({', '.join(f"'{s}'" for s in SPECIALS)}) THEN [part]
+                     ELSE {sql_pretokens('part')} END AS tokens FROM parts),
+        u AS (SELECT page_id, part_no, generate_subscripts(tokens, 1) AS k, unnest(tokens) AS token FROM cut),
+        placed AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY part_no, k) - 1 AS INT) AS n, token FROM u),
+        rules AS (SELECT list(chr(1) || l || chr(1) || chr(1) || r || chr(1) || chr(2) || chr(1) || l || r || chr(1) ORDER BY rank) AS rs FROM m),
+        once AS (SELECT token, array_to_string({sql_shown('token')}, '') AS shown, {sql_parts(
+            "list_reduce(list_concat([" + sql_symbols(sql_shown('token')) + "], rs), "
+            "lambda s, x: replace(s, split_part(x, chr(2), 1), split_part(x, chr(2), 2)))")} AS merged
+          FROM (SELECT DISTINCT token FROM placed WHERE token NOT IN ({', '.join(f"'{s}'" for s in SPECIALS)})), rules)
+        SELECT page_id, n, token, coalesce(shown, token) AS shown, coalesce(array_to_string(merged, ' '), token) AS merged,
+          CASE WHEN merged IS NULL THEN CAST((SELECT count(*) FROM pieces) - 1 + list_position({sorted(SPECIALS)}, token) AS VARCHAR)
+               ELSE array_to_string(list_transform(merged, lambda p: CAST(id_of[p] AS VARCHAR)), ' ') END AS ids,
+          merged IS NULL AS is_special
+        FROM placed LEFT JOIN once USING (token), ids""",
+)
 def encode_show_work(spark, sf_dir):
     work = bpe.show_work_udtf(byte_merges(spark, sf_dir), SPECIALS)
     spark.udtf.register("show_work", work)

@@ -30,9 +30,10 @@ from tokenloom.llm.storage import staged
 CLASSES = 512
 DIM = 12
 NOISE = 24
-BATCH = 4096
-RATE = 0.1
+BATCH = 1024
+RATE = 0.05
 HEAD_WORDS = 1 << 17
+COUNT_RANGES = 64
 FLUSH_WORDS = 200_000
 CONTEXTS_AT_ONCE = 2048
 LOG10_E = float(np.log10(np.e))
@@ -92,10 +93,29 @@ class Vocabulary:
         return np.array([*self.counts[: self.class_words], self.other_tokens, self.ends], dtype=np.float64)
 
 
+def head_words(counts: DataFrame, most: int) -> list:
+    """The most frequent words, at most ``most``: all whose count lies in the highest ranges that fit.
+
+    A table of words by range of count (``COUNT_RANGES`` to a doubling) finds the least count, so no task
+    returns words that are not in the head.
+    """
+    step = F.floor(F.log2(F.col("n")) * COUNT_RANGES).cast("int")
+    sizes = sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+    total, least = 0, None
+    for row in sizes:
+        total += row["words"]
+        if total > most:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return sorted(counts.filter(step >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
+
+
 def learn_vocabulary(counts: DataFrame, documents: int, classes: int = CLASSES, head: int = HEAD_WORDS) -> Vocabulary:
     """Every document adds one end.  The head is a fixed number of rows at most."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(head).collect()
+    top = head_words(counts, head)
     words = [bytes(r["word"]) for r in top]
     numbers = np.array([r["n"] for r in top], dtype=np.int64)
     return Vocabulary(words, numbers, total[0] + documents, total[1] + (documents > 0), documents, classes)
@@ -157,7 +177,7 @@ class Trainer:
 
     def __init__(self, parameters: dict[str, np.ndarray], class_counts: np.ndarray, seed: int, noise: int = NOISE):
         self.p = {k: v.copy() for k, v in parameters.items()}
-        self.square = {k: np.full(v.shape, 1e-3, dtype=np.float32) for k, v in parameters.items()}
+        self.square = {k: np.full(v.shape, 1e-8, dtype=np.float32) for k, v in parameters.items()}
         share = (class_counts + 1) / (class_counts + 1).sum()
         self.log_noise = (np.log(share) + np.log(noise)).astype(np.float32)
         self.edges = np.cumsum(share)
@@ -184,7 +204,7 @@ class Trainer:
         for name, g in (("r", g_r), ("q", g_q), ("c", g_c), ("b", g_b)):
             g = (g / n).astype(np.float32)
             self.square[name] += g * g
-            self.p[name] -= RATE * 0.3 * g / np.sqrt(self.square[name])
+            self.p[name] -= RATE * g / np.sqrt(self.square[name])
         self.seen += n
 
     def learn(self, target: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 SPACE = np.zeros(256, dtype=bool)

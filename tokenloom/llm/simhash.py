@@ -131,6 +131,7 @@ class _Forest:
 
 def _links_of(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Forest of the links between rows of equal key (rows come sorted by key)."""
+    fp = fp.view(np.uint64)  # a signed difference would be counted by its absolute value
     forest, here, lag = _Forest(), np.arange(len(key)), 1
     while len(here := here[here + lag < len(key)]):
         here = here[key[here] == key[here + lag]]

@@ -1,10 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-Every word 3-gram of the test items is counted over the whole corpus.  In each window of
-``SEED_WINDOW`` consecutive grams of an item the rarest is a seed, so an item has seeds everywhere and a
-stock phrase is one only where nothing rarer is near.  Texts that hold a seed are aligned with the item
-around it: the best local alignment (match 2, other word -1, left-out word -1) over that of the whole item
-with itself is the score.  Nothing bounds the number of texts of an item or of seeds in a text.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment of words.
+
+Texts that hold a seed of an item are aligned with the item around it: the best local alignment (match 2,
+other word -1, left-out word -1) over that of the whole item with itself is the score.  Seeds are pairs of
+words that stand one or two apart, in the item and in the text, and no pair of score ``s`` is lost by them:
+an item of ``m`` words is scored 2 for each of ``k`` matched words, and what lies between two matches costs
+at least the longer of the two gaps.  Of the ``k - 1`` steps from match to match let ``p`` cost 0 and ``q``
+cost 1; then ``2p + q >= 2ms - 2``, and each of these steps is a seed pair at a first word of its own.  There
+are ``m - 1`` first words, so at most ``m(1 - s)`` have no pair in the text: of any ``floor(m(1 - s)) + 1``
+first words one has.  The rarest are taken, by the count of their pairs over the whole corpus; which are
+rare decides the work alone.  Nothing bounds the number of texts of an item or of seeds in a text.
 """
 
 from __future__ import annotations
@@ -16,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.batches import SpanHash, ascii_lower, find_words, gram_hashes, signed, text_chunks
+from tokenloom.llm.batches import BASE, Chunk, SpanHash, Words, ascii_lower, find_words, mixed, signed, text_chunks
 from tokenloom.llm.bitmaps import key_bitmap, may_hold
 from tokenloom.llm.storage import staged
 
-GRAM = 3
-SEED_WINDOW = 6
+LEAST_WORDS = 3
+STEPS = (1, 2)
 MATCH, OTHER, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 CELLS = 1 << 21
@@ -53,29 +57,58 @@ def local_scores(item: np.ndarray, passages: np.ndarray) -> np.ndarray:
     return best
 
 
-def item_grams(items: DataFrame, gram: int = GRAM) -> DataFrame:
-    """``item_key, item_id, item_text, place, gram`` for every gram of every item, repeated items once."""
+def pair_hashes(chunk: Chunk) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The words of a chunk, and for each pair of words one or two apart in a row the first word and a hash."""
+    words = find_words(chunk)
+    hashes = SpanHash(ascii_lower(chunk.data)).of(words.start, words.end)
+    firsts, pairs = [], []
+    for step in STEPS:
+        at = np.flatnonzero(words.row[:-step] == words.row[step:])
+        firsts.append(at)
+        pairs.append(mixed(hashes[at] * np.uint64(BASE) + hashes[at + step]))
+    return words, np.concatenate(firsts), np.concatenate(pairs)
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """``item_key, item_id, item_text, words, place, gram`` for every pair of every item, repeated items once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch.column("item_text")):
-                words = find_words(chunk)
-                at, grams = gram_hashes(words, SpanHash(ascii_lower(chunk.data)).of(words.start, words.end), gram)
+                words, at, grams = pair_hashes(chunk)
                 row = words.row[at]
+                size = np.diff(words.first)[row]
+                long = size >= LEAST_WORDS
+                row, at, grams, size = row[long], at[long], grams[long], size[long]
                 take = pa.array(row + chunk.first)
-                columns = [batch.column(c).take(take) for c in ("item_key", "item_id", "item_text")]
-                columns += [pa.array((at - words.first[row]).astype(np.int32)), pa.array(signed(grams))]
-                yield pa.RecordBatch.from_arrays(columns, names=["item_key", "item_id", "item_text", "place", "gram"])
+                columns = [batch.column(c).take(take) for c in names[:3]]
+                columns += [pa.array(x.astype(np.int32)) for x in (size, at - words.first[row])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(signed(grams))], names=names)
 
     rows = items.select(
         F.xxhash64("item_id", "text").alias("item_key"), F.col("item_id").cast("bigint"), F.col("text").alias("item_text")
     )
-    schema = "item_key bigint, item_id bigint, item_text string, place int, gram bigint"
+    schema = "item_key bigint, item_id bigint, item_text string, words int, place int, gram bigint"
+    names = [c.split()[0] for c in schema.split(", ")]
     return rows.distinct().mapInArrow(work, schema)
 
 
-def gram_hits(docs: DataFrame, grams: DataFrame, gram: int = GRAM) -> DataFrame:
-    """``row_key, gram, place``: where texts hold a gram of an item (or, rarely, one that shares its bit)."""
+def gram_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """``gram, n``: how often texts hold each pair of an item (and a few others that share its bit)."""
+    shared = docs.sparkSession.sparkContext.broadcast(key_bitmap(grams, "gram"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in text_chunks(batch.column("text")):
+                found = signed(pair_hashes(chunk)[2])
+                gram, n = np.unique(found[may_hold(shared.value, found)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+    return docs.select("text").mapInArrow(work, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def gram_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """``row_key, gram, place``: where texts hold a pair of ``grams`` (or, rarely, one that shares its bit)."""
     shared = docs.sparkSession.sparkContext.broadcast(key_bitmap(grams, "gram"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,8 +116,7 @@ def gram_hits(docs: DataFrame, grams: DataFrame, gram: int = GRAM) -> DataFrame:
         for batch in batches:
             keys = batch.column("row_key").to_numpy()
             for chunk in text_chunks(batch.column("text")):
-                words = find_words(chunk)
-                at, found = gram_hashes(words, SpanHash(ascii_lower(chunk.data)).of(words.start, words.end), gram)
+                words, at, found = pair_hashes(chunk)
                 hit = may_hold(bitmap, signed(found))
                 at, found = at[hit], found[hit]
                 row = words.row[at]
@@ -94,22 +126,25 @@ def gram_hits(docs: DataFrame, grams: DataFrame, gram: int = GRAM) -> DataFrame:
     return docs.select("row_key", "text").mapInArrow(work, "row_key bigint, gram bigint, place bigint")
 
 
-def rare_seeds(grams: DataFrame, hits: DataFrame, window: int = SEED_WINDOW) -> DataFrame:
-    """``item_key, place, gram`` of the rarest gram in every window of an item's grams."""
-    counts = hits.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("_n"))
-    counted = grams.join(counts, F.col("gram") == F.col("_gram"), "left")
-    own = F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("place").alias("place"), F.col("gram").alias("gram"))
-    ahead = Window.partitionBy("item_key").orderBy("place").rowsBetween(0, window - 1)
-    chosen = counted.select("item_key", F.min(own).over(ahead).alias("s")).distinct()
-    return chosen.select("item_key", F.col("s.place").alias("item_place"), F.col("s.gram").alias("seed"))
+def rare_seeds(grams: DataFrame, counts: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """``item_key, item_place, gram``: all pairs of the rarest first words of each item, one more than may be missed."""
+    counted = grams.join(counts.select(F.col("gram").alias("_gram"), "n"), F.col("gram") == F.col("_gram"), "left")
+    places = counted.groupBy("item_key", "place").agg(
+        F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.first("words").alias("words"), F.collect_set("gram").alias("pairs")
+    )
+    rank = F.row_number().over(Window.partitionBy("item_key").orderBy("n", "place"))
+    missed = F.floor(F.col("words") * (1 - min_score) + 1e-9)
+    chosen = places.withColumn("rank", rank).filter(F.col("rank") <= missed + 1)
+    return chosen.select("item_key", F.col("place").alias("item_place"), F.explode("pairs").alias("gram"))
 
 
 def _passages(starts: np.ndarray, item_words: int, text_words: int) -> list[tuple[int, int]]:
     """Stretches of words around the places where the item would begin, joined where they meet.
 
-    Long ones are cut into stretches that overlap by more than an alignment with a score can span.
+    An alignment scores above 0, so it leaves out fewer text words than twice the item's words: it lies inside.
+    Long stretches are cut into ones that overlap by more than an alignment with a score can span.
     """
-    slack = item_words // 2 + 4
+    slack = 2 * item_words
     low = np.maximum(np.sort(starts) - slack, 0)
     high = np.minimum(np.sort(starts) + item_words + slack, text_words)
     first = np.flatnonzero(np.concatenate([[True], low[1:] > np.maximum.accumulate(high)[:-1]]))
@@ -168,11 +203,13 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, min_score: float = MIN
     Items of fewer than three words and null or empty texts match nothing.  Repeated rows of ``docs`` give
     repeated pairs; repeated items count once.  Empty tables give no pairs.
     """
+    if not 1 / LEAST_WORDS < min_score <= 1:
+        raise ValueError("min_score must be above 1/3, where one word of three is enough, and at most 1")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), F.col("doc_id").cast("bigint"), "text")
     grams = staged(item_grams(items), "leak-grams")
-    hits = staged(gram_hits(rows, grams), "leak-hits")
-    seeds = rare_seeds(grams, hits)
-    near = hits.distinct().join(seeds, F.col("gram") == F.col("seed")).select(
+    seeds = staged(rare_seeds(grams, gram_counts(rows, grams), min_score), "leak-seeds")
+    hits = gram_hits(rows, seeds).distinct().withColumnRenamed("gram", "hit")
+    near = hits.join(seeds, F.col("hit") == F.col("gram")).select(
         "row_key", "item_key", (F.col("place") - F.col("item_place")).alias("start")
     )
     found = near.groupBy("row_key", "item_key").agg(F.collect_set("start").alias("starts"))

@@ -57,3 +57,10 @@ def test_scores_that_one_word_reaches_are_refused(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     with pytest.raises(ValueError):
         decontamination.contaminated_pairs(frame(spark, []), none, 0.3)
+
+
+def test_items_of_equal_text_are_pairs_of_their_own(spark):
+    text = words(random.Random(3), 12)
+    table = spark.createDataFrame([(1, text), (2, text), (2, text)], "item_id bigint, text string")
+    found = decontamination.contaminated_pairs(frame(spark, [(7, f"so {text} on", "", "", 1)]), table)
+    assert sorted((r.doc_id, r.item_id, r.score) for r in found.collect()) == [(7, 1, 1.0), (7, 2, 1.0)]

@@ -165,18 +165,18 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in PAIRS.split(", ")]
     items: dict[bytes, np.ndarray] = {}
     for batch in batches:
-        work: dict[bytes, list[tuple[int, int, int, np.ndarray]]] = {}
-        ids: dict[tuple[int, bytes], int] = {}
+        work: dict[bytes, list[tuple[tuple[int, int], int, int, np.ndarray]]] = {}
+        ids: dict[tuple[int, int], int] = {}
         for i in range(len(batch)):
             words = word_hashes(batch.column("text")[i].as_py().encode())
-            for candidate in batch.column("items")[i].as_py():
+            for c, candidate in enumerate(batch.column("items")[i].as_py()):
                 text = (candidate["item_text"] or "").encode()
-                ids[i, text] = candidate["item_id"]
+                ids[i, c] = candidate["item_id"]
                 if text not in items:
                     items[text] = word_hashes(text)
                 for a, b in _passages(np.array(candidate["starts"]), len(items[text]), len(words)):
-                    work.setdefault(text, []).append((i, a, b, words[a:b]))
-        best: dict[tuple[int, bytes], tuple[float, int, int]] = {}
+                    work.setdefault(text, []).append(((i, c), a, b, words[a:b]))
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for text, stretches in work.items():
             stretches.sort(key=lambda s: s[2] - s[1])
             while stretches:
@@ -187,9 +187,9 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for k, (_, a, b, hashes) in enumerate(part):
                     padded[k, : b - a] = hashes
                 scores = local_scores(items[text], padded) / (MATCH * max(1, len(items[text])))
-                for (i, a, b, _), score in zip(part, scores.tolist(), strict=True):
-                    best[i, text] = max(best.get((i, text), (-1.0, 0, 0)), (score, a, b))
-        rows = [[batch.column("doc_id")[i].as_py(), ids[i, text], *found] for (i, text), found in best.items()]
+                for (pair, a, b, _), score in zip(part, scores.tolist(), strict=True):
+                    best[pair] = max(best.get(pair, (-1.0, 0, 0)), (score, a, b))
+        rows = [[batch.column("doc_id")[pair[0]].as_py(), ids[pair], *found] for pair, found in best.items()]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)

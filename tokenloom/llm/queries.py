@@ -15,6 +15,7 @@ from tokenloom.llm import (
     sharding,
     simhash,
     substring_dedup,
+    token_files,
     warc,
 )
 from tokenloom.llm.catalog import register
@@ -94,3 +95,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
     records = warc.read_archives(manifest, folder, with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op11_token_files")
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_digests(spark, folder)

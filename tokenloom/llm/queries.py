@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm import (
     decontamination,
+    divergence,
     licences,
     line_dedup,
     lm,
@@ -104,3 +105,8 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read_digests(spark, folder)
+
+
+@register("op12_divergence", divergence.DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -17,6 +17,7 @@ from tokenloom.llm import (
     simhash,
     substring_dedup,
     token_files,
+    vector_codes,
     warc,
 )
 from tokenloom.llm.catalog import register
@@ -110,3 +111,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_divergence", divergence.DIVERGENCE_SQL)
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@register("op13_vector_codes", vector_codes.CODES_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    codes, books = vector_codes.compress(vectors)
+    return codes.drop("label").withColumn("codebooks_sha256", F.lit(vector_codes.books_digest(books)))

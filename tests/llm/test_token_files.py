@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from odd_rows import frame, no_docs, odd_docs, texts
 from tokenloom.llm import token_files
+from tokenloom.llm.batches import text_chunks
 from tokenloom.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,7 +37,16 @@ def plain_rows(rows):
 
 
 def random_text(rng):
-    return "".join(rng.choice("ab  \n\t'.1é日s") for _ in range(rng.randrange(60)))
+    return "".join(rng.choice("ab  \n\t'.,!1é×日s\u00a0") for _ in range(rng.randrange(60)))
+
+
+def encoded(encoder, some):
+    out = []
+    for chunk in text_chunks(pa.array(some), 3000):
+        ids, edges = encoder.encode(chunk)
+        assert len(edges) == chunk.rows + 1 and edges[-1] == len(ids)
+        out += [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return out
 
 
 def test_segments_give_the_ids_of_whole_texts(monkeypatch):
@@ -44,20 +55,18 @@ def test_segments_give_the_ids_of_whole_texts(monkeypatch):
     encoder = token_files.Encoder(WHOLE.to_str())
     assert encoder.cuts
     wanted = [plain_ids(t)[:-1] for t in some]
-    for known, window, long in [(1 << 18, 1 << 20, 48), (50, 40, 3)]:
-        monkeypatch.setattr(token_files, "KNOWN", known)
-        monkeypatch.setattr(token_files, "WINDOW", window)
-        monkeypatch.setattr(token_files, "LONG_SEGMENT", long)
+    for known, window, long, group, joined in [(1 << 18, 1 << 20, 1 << 22, 1 << 17, 1000), (50, 37, 40, 5, 3)]:
+        for name, value in [("KNOWN", known), ("WINDOW", window), ("LONG_BYTES", long), ("GROUP", group), ("JOINED", joined)]:
+            monkeypatch.setattr(token_files, name, value)
         for _ in range(2):
-            got = [g.tolist() for at in range(0, len(some), 37) for g in encoder.encode(some[at : at + 37])]
-            assert got == wanted
+            assert encoded(encoder, some) == wanted
 
 
 def test_other_tokenizers_get_whole_texts():
     other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     encoder = token_files.Encoder(other.to_str())
     assert not encoder.cuts
-    assert [g.tolist() for g in encoder.encode(TRICKY)] == [other.encode(t, add_special_tokens=False).ids for t in TRICKY]
+    assert encoded(encoder, TRICKY) == [other.encode(t, add_special_tokens=False).ids for t in TRICKY]
 
 
 @pytest.mark.parametrize("piece", [4096, 7])

@@ -6,9 +6,9 @@ Bloom filter on ``doc_id``: a lookup by id reads the row groups that may hold it
 a reader takes them in parallel.  Files follow the ids (``part`` is a file's number), documents without an
 id first; equal ids follow a hash of their texts.
 
-Encoding works on segments: a text is cut before each single space or line feed between two characters
-that are no white space, which the pattern of byte-level tokenizers always cuts too.  Each different
-segment is encoded once in a while; tokenizers of another make get whole texts.
+Encoding works on segments: a text is cut before white space behind another character and before
+punctuation behind a letter or digit, where the pattern of byte-level tokenizers always cuts too.  Each
+different segment is encoded once in a while; tokenizers of another make get whole texts.
 """
 
 from __future__ import annotations
@@ -25,27 +25,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.batches import text_chunks
+from tokenloom.llm.batches import SPACE, Chunk, SpanHash, text_chunks
+from tokenloom.llm.storage import staged
 
 PIECE = 4096
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1000
-SEGMENT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 KNOWN = 1 << 18
-LONG_SEGMENT = 48
-JOINED = 4000
+LONG_BYTES = 1 << 22
+JOINED = 1000
 WINDOW = 1 << 20
+GROUP = 1 << 17
+BLANK = bytes([0x20, *range(0x09, 0x0E)])
+INK = bytes(range(0x21, 0x7F))
+SOLID, LEAD, WORD, STOP = (np.zeros(256, dtype=bool) for _ in range(4))
+SOLID[0x21:0x7F] = True
+LEAD[0xC3:0xE0] = True
+LEADS = {bytes([b]) for b in range(0xC3, 0xE0)}
+WORD[[*b"0123456789", *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+STOP[[*b".,;:!?"]] = True
 FILE_FIELDS = "doc_id bigint, part int, doc_start bigint, n_tokens bigint, piece int, ids array<int>"
 
 
 def cuts_before_spaces(made: dict) -> bool:
-    """Whether a tokenizer (its JSON) never lets a token cross a cut of ``SEGMENT``."""
+    """Whether a tokenizer (its JSON) never lets a token cross a place of ``cut_places``."""
     cutter, model = made.get("pre_tokenizer") or {}, made["model"]
     plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])) for t in made["added_tokens"])
     bytewise = cutter.get("type") == "ByteLevel" and not cutter["add_prefix_space"] and cutter.get("use_regex", True)
     return bool(bytewise and plain and model["type"] == "BPE" and not model.get("dropout") and not made["normalizer"])
 
 
+def cut_places(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where segments begin in UTF-8 texts on end: at texts, at white space behind a character that is none
+    (ASCII, or of two bytes), and at one of ``.,;:!?`` behind a letter or digit."""
+    places = np.zeros(len(data), dtype=bool)
+    places[bounds[:-1][bounds[1:] > bounds[:-1]]] = True
+    for at in range(0, len(data), WINDOW):
+        low = max(at - 2, 0)
+        d = data[low : at + WINDOW]
+        pair = np.zeros(len(d), dtype=bool)  # ends of two-byte characters, from U+00C0 on
+        pair[1:] = LEAD[d[:-1]] & (d[1:] >= 0x80)
+        latin = np.zeros(len(d), dtype=bool)
+        latin[1:] = (d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] != 0x97) & (d[1:] != 0xB7)
+        found = np.zeros(len(d), dtype=bool)
+        found[1:] = SPACE[d[1:]] & (SOLID[d[:-1]] | pair[:-1])
+        found[1:] |= STOP[d[1:]] & (WORD[d[:-1]] | latin[:-1])
+        places[at : at + WINDOW] |= found[at - low :]
+    return np.flatnonzero(places)
+
+
+def repeats(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different span, and for each span the number of that place.
+
+    Spans are told apart by hashes; if bytes of equal hashes differ, or spans are very long, each span counts
+    as different.
+    """
+    if len(data) <= LONG_BYTES:
+        _, one, which = np.unique(SpanHash(data).of(start, end), return_index=True, return_inverse=True)
+        first, size = start[one[which]], end - start
+        if (end[one[which]] - first == size).all() and (data[np.repeat(first - start, size) + np.arange(len(data))] == data).all():
+            return one, which
+    return np.arange(len(start)), np.arange(len(start))
+
+
 class Encoder:
     """Ids of texts without special tokens, by the tokenizers library."""
 
@@ -65,76 +107,68 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at: dict[bytes, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
         self.ends = np.zeros(1, dtype=np.int64)
 
-    def _whole(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, segments: list[str]) -> None:
-        """Segments that begin with the cut and do not end in white space are encoded on end."""
-        chain = [s for s in segments if s[:1] in (" ", "\n") and not s[-1].isspace()]
-        alone = [s for s in segments if not (s[:1] in (" ", "\n") and not s[-1].isspace())]
-        joined, now, n = [], [], 0
-        for s in chain:
-            now.append(s)
-            n += len(s)
-            if n >= JOINED:
-                joined.append("".join(now))
-                now, n = [], 0
-        if now:
-            joined.append("".join(now))
+    def _whole(self, texts: Sequence[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.int32) for e in found]
+
+    def _learn(self, segments: list[bytes]) -> None:
+        """Segments that begin with white space and do not end in it are encoded on end, several at a time."""
+        chain, alone = [], []
+        for s in segments:
+            (chain if s[0] in BLANK and (s[-1] in INK or s[-2:-1] in LEADS) else alone).append(s)
+        ends = np.cumsum(np.fromiter(map(len, chain), np.int64, len(chain)))
+        groups = np.searchsorted(ends, np.arange(JOINED, (ends[-1] if len(ends) else 0) + JOINED, JOINED))
+        joined = [b"".join(chain[a:b]) for a, b in zip([0, *groups], [*groups, len(chain)], strict=True) if b > a]
         ids = np.concatenate([np.zeros(0, np.int32), *self._whole(joined)])
-        ends = np.cumsum(np.fromiter((len(s.encode()) for s in chain), np.int64, len(chain)))
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
         parts = self._whole(alone)
         cuts = np.concatenate([cuts, len(ids) + np.cumsum([len(p) for p in parts], dtype=np.int64)])
-        for s in chain + alone:
-            self.at[s] = len(self.at)
+        known = len(self.at)
+        self.at.update(zip(chain + alone, range(known, known + len(segments)), strict=True))
         self.ids = np.concatenate([self.ids, ids, *parts])
         self.ends = np.concatenate([self.ends, self.ends[-1] + cuts])
 
-    def _windows(self, text: str) -> Iterator[str]:
-        start = 0
-        while len(text) - start > WINDOW and (found := SEGMENT.search(text, start + WINDOW)):
-            yield text[start : found.start()]
-            start = found.start()
-        yield text[start:]
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        if not self.cuts:
-            return self._whole(texts)
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        small = [i for i, t in enumerate(texts) if len(t) <= WINDOW]
-        for i, ids in zip(small, self._segments([texts[i] for i in small]), strict=True):
-            out[i].append(ids)
-        for i in set(range(len(texts))).difference(small):
-            for window in self._windows(texts[i]):
-                out[i] += self._segments([window])
-        return [o[0] if len(o) == 1 else np.concatenate(o) for o in out]
-
-    def _segments(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cut = [SEGMENT.split(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.at)
+    def _segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments on end, and how many each has."""
+        new = set(segments).difference(self.at)
         if len(self.at) + len(new) > KNOWN:
             self._forget()
-            new = set().union(*cut)
-        new = sorted(new, key=len)  # long ones last: they are dropped again
+            new = set(segments)
         held, n_ids = len(self.at), len(self.ids)
-        self._learn(new)
-        counts = [len(c) for c in cut]
-        index = np.fromiter((self.at[s] for c in cut for s in c), np.int64, sum(counts))
+        self._learn(list(new))
+        index = np.fromiter(map(self.at.__getitem__, segments), np.int64, len(segments))
         first, size = self.ends[index], self.ends[index + 1] - self.ends[index]
-        before = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.repeat(first - before[:-1], size) + np.arange(before[-1])]
-        if new and len(new[-1]) > LONG_SEGMENT:
-            if len(self.at) > KNOWN or sum(len(s) for s in new if len(s) > LONG_SEGMENT) > 1 << 16:
-                for s in new:
-                    del self.at[s]
-                self.ids, self.ends = self.ids[:n_ids], self.ends[: held + 1]
-        edges = before[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        before = np.cumsum(size) - size
+        ids = self.ids[np.repeat(first - before, size) + np.arange(size.sum())]
+        if sum(map(len, new)) > LONG_BYTES:  # texts without spaces are not worth keeping
+            for s in new:
+                del self.at[s]
+            self.ids, self.ends = self.ids[:n_ids], self.ends[: held + 1]
+        return ids, size
+
+    def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a chunk on end, and where each text's begin (with the end of the last)."""
+        if not self.cuts:
+            found = self._whole(chunk.texts())
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.cumsum([0, *map(len, found)])
+        starts = cut_places(chunk.data, chunk.bounds)
+        stops = np.append(starts[1:], len(chunk.data))
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(starts), GROUP):
+            low, high = starts[at : at + GROUP], stops[at : at + GROUP]
+            data, low, high = chunk.data[low[0] : high[-1]], low - low[0], high - low[0]
+            raw, (one, which) = data.tobytes(), repeats(data, low, high)
+            found, each = self._segments([raw[a:b] for a, b in zip(low[one].tolist(), high[one].tolist(), strict=True)])
+            size = each[which]
+            first = (np.cumsum(each) - each)[which]
+            ids.append(found[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+            sizes.append(size)
+        before = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        return np.concatenate(ids), before[np.searchsorted(starts, chunk.bounds)]
 
 
 @lru_cache(maxsize=1)
@@ -152,17 +186,15 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int, parts: int) -> Data
         for batch in batches:
             ids, part = batch.column("doc_id"), batch.column("part")
             for chunk in text_chunks(batch.column("text")):
-                found = encode([t.decode() for t in chunk.texts()])
-                sizes = np.array([len(f) + 1 for f in found], dtype=np.int64)
-                starts = start + np.concatenate([[0], np.cumsum(sizes)])
+                found, edges = encode(chunk)
+                flat = np.insert(found, edges[1:], end_id)
+                edges = edges + np.arange(len(edges))
+                sizes, starts = np.diff(edges), start + edges
                 start = int(starts[-1])
-                flat = np.full(starts[-1] - starts[0], end_id, dtype=np.int32)
-                for f, at in zip(found, starts - starts[0], strict=False):
-                    flat[at : at + len(f)] = f
                 pieces = -(-sizes // PIECE)
                 row = np.repeat(np.arange(chunk.rows), pieces)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                begin = starts[row] - starts[0] + piece * PIECE
+                begin = edges[row] + piece * PIECE
                 offsets = pa.array(np.append(begin, len(flat)).astype(np.int32))
                 at = pa.array(chunk.first + row)
                 columns = [ids.take(at), part.take(at), pa.array(starts[row]), pa.array(sizes[row])]
@@ -264,7 +296,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 
     names = ["doc_id", "part", "doc_start", "n_tokens", "piece", "crc"]
     fields = "doc_id bigint, part int, doc_start bigint, n_tokens bigint"
-    rows = token_files(spark, folder).mapInArrow(crc, f"{fields}, piece int, crc bigint")
+    rows = staged(token_files(spark, folder).mapInArrow(crc, f"{fields}, piece int, crc bigint"), "token-digests")
     whole = rows.filter(F.col("n_tokens") <= PIECE).drop("piece")
     cut = rows.filter(F.col("n_tokens") > PIECE).groupBy("part", "doc_start").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("piece", "crc"))).alias("crcs")

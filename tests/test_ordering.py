@@ -87,14 +87,6 @@ def test_profile_can_drop_infinity(spark):
     assert stats["count"] == 2 and stats["max"] == 2.0
 
 
-def test_strided_reader(spark):
-    df = spark.range(20)
-    assert {r["id"] for r in od.reader_lines(df, "id", 4, 3).collect()} == {3, 7, 11, 15, 19}
-    for bad in (-1, 4):
-        with pytest.raises(ValueError):
-            od.reader_lines(df, "id", 4, bad)
-
-
 def test_shuffled_files_follow_the_rank(spark):
     df = spark.range(300)
     ranks = {r["id"]: r["rank"] for r in od.global_shuffle(df, 9, "id").collect()}

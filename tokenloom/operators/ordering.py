@@ -194,20 +194,3 @@ def shuffled_for_write(df: DataFrame, seed: str | int, key: str, partitions: int
 def repeat_epochs(df: DataFrame, epochs: int, out: str = "current_iter") -> DataFrame:
     """Every row once per epoch, made by a generator instead of a product join."""
     return df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-
-
-def strided_lines(df: DataFrame, key: str, block_size: int, shard: Sequence[str] = ()) -> DataFrame:
-    """Which of ``block_size`` readers takes each line of a shard: ``line_no % block_size``."""
-    if block_size < 1:
-        raise ValueError("block_size must be at least 1")
-    ranked = rank_by_id(df, key, "line_no", shard)
-    return ranked.withColumn("offset", (F.col("line_no") % block_size).cast("int"))
-
-
-def reader_lines(
-    df: DataFrame, key: str, block_size: int, offset: int, shard: Sequence[str] = ()
-) -> DataFrame:
-    """The lines one reader sees."""
-    if not 0 <= offset < block_size:
-        raise ValueError(f"offset {offset} is outside [0, {block_size})")
-    return strided_lines(df, key, block_size, shard).filter(F.col("offset") == offset)

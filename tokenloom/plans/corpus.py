@@ -13,7 +13,7 @@ from tokenloom.operators import ordering as od
 from tokenloom.operators import sampling as sp
 from tokenloom.plans.catalog import register, sql_uniform, table
 from tokenloom.session import scan_partitions, scratch_path
-from tokenloom.sources import readers, writers
+from tokenloom.sources import jsonl, named_files, readers, writers
 
 LANGS = ["en", "fr", "de", "es"]
 SEED = 42
@@ -84,8 +84,14 @@ def scan_docs_text_key(spark, sf_dir):
              FROM documents)""",
 )
 def scan_jsonl_strided(spark, sf_dir):
-    docs = documents(spark, sf_dir, "doc_id").withColumn("shard", (F.col("doc_id") % 4).cast("int"))
-    return od.strided_lines(docs, "doc_id", 3, ["shard"])
+    """Lines of JSON-lines shards, numbered from the files themselves."""
+    path = scratch_path(spark, "jsonl-shards")
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("shard", (F.col("doc_id") % 4).cast("int"))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs.repartitionByRange(files, "doc_id").sortWithinPartitions("shard", "doc_id").write.partitionBy("shard").json(path)
+    shard = F.regexp_extract(F.col("file"), "shard=([0-9]+)/", 1).cast("int")
+    lines = jsonl.strided(jsonl.numbered_lines(spark, path, shard, "*.json"), 3)
+    return jsonl.parsed(lines, "doc_id bigint").select("doc_id", "shard", "line_no", "offset")
 
 
 @register(
@@ -210,7 +216,15 @@ def scan_allow_patterns(spark, sf_dir):
        WHERE step < 30""",
 )
 def scan_validation_shards(spark, sf_dir):
-    return readers.validation_rows(documents(spark, sf_dir, "doc_id", "source"), "source", "doc_id", 30)
+    """Validation files of each source, read next to training files that do not match."""
+    path = scratch_path(spark, "validation")
+    docs = documents(spark, sf_dir, "doc_id", "text", "source")
+    plan = writers.shard_plan(docs, "doc_id", "source", 50).withColumn("value", F.to_json(F.struct("doc_id", "text")))
+    for suffix in ("val.jsonl", "jsonl"):
+        file = F.format_string(f"%s/chunk.%05d.{suffix}", "source", "shard_no")
+        named_files.write_named(plan.withColumn("file", file), path, ["row_no"])
+    lines = jsonl.validation_lines(spark, path, 30)
+    return jsonl.parsed(lines, "doc_id bigint").select("doc_id", "source", "step", "current_iter")
 
 
 # ---- sinks -----------------------------------------------------------------
@@ -223,10 +237,20 @@ def scan_validation_shards(spark, sf_dir):
                     AS shard_no FROM documents) GROUP BY lang, shard_no""",
 )
 def sink_text_shards(spark, sf_dir):
-    plan = writers.shard_plan(documents(spark, sf_dir, "doc_id", "lang"), "doc_id", "lang", 35)
-    return plan.groupBy("lang", "shard_no").agg(
-        F.count(F.lit(1)).alias("n_records"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+    """Shards are written under planned names, a record on a line behind its id, and counted in the files."""
+    path = scratch_path(spark, "text-shards")
+    plan = writers.shard_plan(documents(spark, sf_dir, "doc_id", "lang", "text"), "doc_id", "lang", 35)
+    record = F.concat_ws("\t", "doc_id", F.regexp_replace("text", "[\r\n]+", " "))
+    file = F.format_string("%s/shard-%05d.txt", "lang", "shard_no")
+    named_files.write_named(plan.select(file.alias("file"), record.alias("value"), "row_no"), path, ["row_no"])
+    lines = jsonl.numbered_lines(spark, path, F.col("file"), "*.txt").withColumn("doc_id", F.substring_index("value", "\t", 1).cast("bigint"))
+    place = [F.regexp_extract("file", "([^/]+)/shard-", 1).alias("lang"), F.regexp_extract("file", "/shard-([0-9]+)\\.txt$", 1).cast("bigint").alias("shard_no")]
+    found = lines.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.min_by("doc_id", "line_no").alias("first_id"),
+        F.max_by("doc_id", "line_no").alias("last_id"),
     )
+    return found.select("lang", "shard_no", "n_records", "first_id", "last_id")
 
 
 def _sampled_sentences(spark, sf_dir) -> DataFrame:
@@ -271,12 +295,19 @@ def sink_jsonl_chunks(spark, sf_dir):
 
 @register(
     "sink_round_robin_chunks",
-    f"""SELECT doc_id, rank, CAST(rank % 32 AS INT) AS chunk, 'chunk.' || printf('%02d', rank % 32) || '.jsonl' AS file
+    f"""SELECT doc_id, rank, CAST(rank % 120 AS INT) AS chunk, 'chunk.' || printf('%02d', rank % 120) || '.jsonl' AS file
         FROM (SELECT doc_id, {RANK} AS rank FROM documents)""",
 )
 def sink_round_robin_chunks(spark, sf_dir):
-    dealt = writers.round_robin_chunks(documents(spark, sf_dir, "doc_id"), "doc_id", SEED, 32)
-    return dealt.withColumn("file", writers.chunk_name("chunk.", ".jsonl"))
+    """Chunk files are written under their names; ranks follow from file and line number."""
+    path = scratch_path(spark, "chunks")
+    dealt = writers.round_robin_chunks(documents(spark, sf_dir, "doc_id", "text"), "doc_id", SEED, 120)
+    dealt = dealt.withColumn("value", F.to_json(F.struct("doc_id", "text"))).withColumn("file", writers.chunk_name("chunk.", ".jsonl"))
+    named_files.write_named(dealt, path, ["rank"])
+    lines = jsonl.parsed(jsonl.numbered_lines(spark, path, F.col("file"), "chunk.*.jsonl"), "doc_id bigint")
+    chunk = F.regexp_extract("file", "chunk\\.([0-9]+)\\.jsonl$", 1).cast("int")
+    file = F.substring_index("file", "/", -1)
+    return lines.select("doc_id", (F.col("line_no") * 120 + chunk).alias("rank"), chunk.alias("chunk"), file.alias("file"))
 
 
 @register(
@@ -314,9 +345,13 @@ def sink_metric_append(spark, sf_dir):
 )
 def sink_first_n_docs(spark, sf_dir):
     """The reader stops after writing index N, so N + 1 documents are kept."""
-    return od.slice_rows(documents(spark, sf_dir, "doc_id"), "doc_id", 0, 501).withColumn(
-        "shard_no", F.floor(F.col("row_idx") / 100).cast("bigint")
-    )
+    path = scratch_path(spark, "first-docs")
+    kept = od.slice_rows(documents(spark, sf_dir, "doc_id", "text"), "doc_id", 0, 501)
+    file = F.format_string("docs-%05d.jsonl", F.floor(F.col("row_idx") / 100).cast("bigint")).alias("file")
+    named_files.write_named(kept.select(file, F.to_json(F.struct("doc_id", "text")).alias("value"), "row_idx"), path, ["row_idx"])
+    lines = jsonl.parsed(jsonl.numbered_lines(spark, path, F.col("file"), "docs-*.jsonl"), "doc_id bigint")
+    shard = F.regexp_extract("file", "/docs-([0-9]+)\\.jsonl$", 1).cast("bigint")
+    return lines.select("doc_id", (shard * 100 + F.col("line_no")).alias("row_idx"), shard.alias("shard_no"))
 
 
 # ---- projections and filters ------------------------------------------------

@@ -21,21 +21,20 @@ from tokenloom.plans.loader import (
     packed_windows,
 )
 from tokenloom.session import scratch_path
-from tokenloom.sources import writers
+from tokenloom.sources import jsonl, writers
 from tokenloom.streaming import jobs
 
 
 @register("stream_jsonl_resumable", "SELECT doc_id, text FROM documents")
 def stream_jsonl_resumable(spark, sf_dir):
-    """Two runs over one checkpoint: the second reads only the shards that came later."""
+    """Two runs over one checkpoint: the first ends inside a file, the second goes on behind its last line."""
     base = scratch_path(spark, "stream-jsonl")
-    docs = documents(spark, sf_dir, "doc_id", "text")
-    for turn in (0, 1):
-        part = docs.filter(F.col("doc_id") % 2 == turn)  # the shards that arrive before this run
-        writers.write_jsonl(part, f"{base}/in/part={turn}", tasks=4)
-        stream = jobs.stream_jsonl(spark, f"{base}/in", "doc_id bigint, text string", files_per_trigger=2)
-        jobs.append_to(stream.select("doc_id", "text"), f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    writers.write_jsonl(documents(spark, sf_dir, "doc_id", "text"), f"{base}/in", tasks=4)
+    half = spark.read.text(f"{base}/in").agg(F.sum(F.octet_length("value") + 1)).first()[0] // 2
+    for limit in ({"untilBytes": half}, {}):
+        lines = jsonl.stream_lines(spark, f"{base}/in", **limit)
+        jobs.append_to(jsonl.parsed(lines, "doc_id bigint, text string"), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("doc_id", "text")
 
 
 @register("stream_pack_tokens", f"WITH {STREAM_SQL} SELECT * FROM full_windows")

@@ -107,17 +107,11 @@ _ENCODED_SQL = f"""WITH RECURSIVE {_BYTE_TRAINING},
     SELECT doc_id, CAST(coalesce(len(c), 0) AS INT) AS n_tokens, coalesce({sql_checksum('c')}, 0) AS check_sum
     FROM documents LEFT JOIN whole USING (doc_id)"""
 
-_TRAINED: dict[tuple, list] = {}
-
-
 def byte_merges(spark: SparkSession, sf_dir: str) -> list:
-    """Byte-level merges trained on the documents, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        words = vb.word_counts(texts(spark, sf_dir), tx.pretokens(F.col("text")))
-        state = words.select(bpe.initial_symbols(bc.to_byte_chars(F.col("word"))).alias("symbols"), "cnt")
-        _TRAINED[key] = bpe.train_merges(state, N_MERGES)
-    return _TRAINED[key]
+    """Byte-level merges trained on the documents."""
+    words = vb.word_counts(texts(spark, sf_dir), tx.pretokens(F.col("text")))
+    state = words.select(bpe.initial_symbols(bc.to_byte_chars(F.col("word"))).alias("symbols"), "cnt")
+    return bpe.train_merges(state, N_MERGES)
 
 
 # ---- pre-tokens and normalisation -----------------------------------------------

@@ -145,6 +145,37 @@ def test_block_shuffle_stream_keeps_blocks(spark, tmp_path):
     assert Counter(r["batch"] for r in rows) == {b: 4 for b in range(12)}
 
 
+@pytest.mark.parametrize("end_first", [False, True])
+def test_block_shuffle_stream_ends_like_its_batch_twin(spark, tmp_path, end_first):
+    src = str(tmp_path / "in")
+    rows = spark.range(106).select((F.col("id") % 2).cast("int").alias("shard"), F.floor(F.col("id") / 2).alias("idx"), (F.col("id") * 7).alias("v"))
+    ends = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("idx")).withColumn("v", F.lit(None).cast("bigint"))
+    parts = [rows.repartition(3), ends.coalesce(1)]
+    for part in reversed(parts) if end_first else parts:
+        part.write.mode("append").parquet(src)
+    mixed = jobs.block_shuffle_stream(jobs.stream_table(spark, src, "*.parquet", 1), "idx", "v", 4, 2, 5, "shard")
+    jobs.append_to(mixed, str(tmp_path / "out"), str(tmp_path / "cp"))
+    found = spark.read.parquet(str(tmp_path / "out")).select("shard", "idx", "payload", "batch", "pos_in_batch").collect()
+    twin = bt.block_shuffle(rows, "idx", 4, 2, 5, ["shard"]).select("shard", "idx", "v", "batch", "pos_in_batch").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, twin))
+    assert len(found) == 104  # two shards of 53, the last block of each a batch of 4 and one over
+
+
+def test_mixture_stream_hands_out_the_documents_of_the_batch_twin(spark, tmp_path):
+    weights = {"big": 1.0, "tiny": 3.0}
+    docs = spark.createDataFrame([(i, "big" if i % 10 else "tiny") for i in range(60)], "doc int, src string")
+    draws = spark.range(200).select(F.col("id").alias("draw"))
+    mx.source_slots(docs, "doc", "src", weights).write.parquet(str(tmp_path / "slots"))
+    slots = spark.read.parquet(str(tmp_path / "slots"))
+    step = jobs.mixture_step("draw", weights, 1, slots, "doc", str(tmp_path / "out"), str(tmp_path / "state"))
+    for number in (0, 1, 1, 2):  # the second batch is run again after a failure
+        step(draws.filter(F.floor(F.col("draw") / 70) == number), number)
+    found = spark.read.parquet(str(tmp_path / "out")).select("draw", "source", "epoch", "doc").collect()
+    twin = mx.mixture_draws(docs, "doc", "src", draws, "draw", weights, 1).select("draw", "source", "epoch", "doc").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, twin))
+    assert max(r["epoch"] for r in found) > 5
+
+
 class _Session:
     """Just the settings of a session."""
 

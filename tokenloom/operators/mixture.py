@@ -31,41 +31,48 @@ def choose_source(weights: Mapping[str, float], seed: str | int, draw: Column) -
     return choice
 
 
-def mixture_draws(
-    docs: DataFrame, key: str, source: str, draws: DataFrame, draw: str, weights: Mapping[str, float], seed: str | int
-) -> DataFrame:
-    """Each draw takes the next document of its source; sources start over when they end.
+def source_slots(docs: DataFrame, key: str, source: str, weights: Mapping[str, float]) -> DataFrame:
+    """``key, source, slot``: the place of each document in its source, for the sources of the mixture."""
+    wanted = docs.filter(F.col(source).isin(*weights)).select(key, F.col(source).alias("source"))
+    return rank_by_id(wanted, key, "slot", ["source"])
 
-    Columns: draw, source, epoch, document key.  A small source with a large
-    weight repeats each document very often; its draws are salted by epoch, and
-    the documents are copied once per ``EPOCHS_PER_SALT`` epochs, so that no
+
+def hand_out(draws: DataFrame, slots: DataFrame, draw: str, key: str) -> DataFrame:
+    """The document of each draw: ``draws`` has ``draw, source, ordinal`` (earlier draws of its source).
+
+    Sources start over when they end.  A small source with a large weight repeats each document very often; its
+    draws are salted by epoch, and the documents are copied once per ``EPOCHS_PER_SALT`` epochs, so that no
     join key holds more than that many draws.
     """
-    wanted = docs.filter(F.col(source).isin(*weights)).select(key, F.col(source).alias("source"))
-    drawn = draws.select(F.col(draw)).withColumn("source", choose_source(weights, seed, F.col(draw)))
-    numbered_docs = rank_by_id(wanted, key, "slot", ["source"])
-    numbered_draws = rank_by_id(drawn, draw, "ordinal", ["source"])
     # one row per configured source
-    sizes = wanted.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
-    uses = drawn.groupBy("source").agg(F.count(F.lit(1)).alias("n_draws"))
+    sizes = slots.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
+    uses = draws.groupBy("source").agg(F.count(F.lit(1)).alias("n_draws"))
     salts = F.ceil(F.col("n_draws") / (F.col("n_docs") * EPOCHS_PER_SALT)).cast("bigint")
     stats = sizes.join(uses, "source").select("source", "n_docs", salts.alias("n_salts"))
     stats = F.broadcast(stats)  # bounded by the number of sources in the configuration
     left = (
-        numbered_draws.join(stats, "source")
+        draws.join(stats, "source")
         .withColumn("epoch", F.floor(F.col("ordinal") / F.col("n_docs")).cast("bigint"))
         .withColumn("slot", F.col("ordinal") % F.col("n_docs"))
         .withColumn("salt", F.col("epoch") % F.col("n_salts"))
         .drop("n_docs", "n_salts", "ordinal")
     )
     right = (
-        numbered_docs.join(stats, "source")
+        slots.join(stats, "source")
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_salts") - 1)))
         .drop("n_docs", "n_salts")
     )
     return left.join(right, ["source", "slot", "salt"]).select(draw, "source", "epoch", key)
 
 
+def mixture_draws(
+    docs: DataFrame, key: str, source: str, draws: DataFrame, draw: str, weights: Mapping[str, float], seed: str | int
+) -> DataFrame:
+    """Each draw takes the next document of its source: draw, source, epoch, document key."""
+    drawn = draws.select(F.col(draw)).withColumn("source", choose_source(weights, seed, F.col(draw)))
+    return hand_out(rank_by_id(drawn, draw, "ordinal", ["source"]), source_slots(docs, key, source, weights), draw, key)
+
+
 def assign_shards(chunks: DataFrame, path: str, world: int) -> DataFrame:
     """Which chunk each rank reads, and with which stride and offset.
 

@@ -48,15 +48,18 @@ def normalised(items: Column) -> Column:
 def nucleus_select(p: Column, top_p: float) -> Column:
     """Most probable items of a row until their mass before the item passes ``top_p``, as ``item, p_norm``.
 
-    One pass over the sorted array, which stops growing at the limit; no row moves.
+    The cut is counted along the sorted array, then sliced off; no array grows and no row moves.
     """
-    start = F.struct(F.array().cast("array<struct<p: double, item: int>>").alias("kept"), F.lit(0.0).alias("mass"))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("mass"))
 
     def add(acc: Column, x: Column) -> Column:
-        grown = F.struct(F.concat(acc["kept"], F.array(x)).alias("kept"), (acc["mass"] + x["p"]).alias("mass"))
-        return F.when(acc["mass"] <= top_p, grown).otherwise(acc)
+        more = F.struct((acc["n"] + 1).alias("n"), (acc["mass"] + x["p"]).alias("mass"))
+        return F.when(acc["mass"] <= top_p, more).otherwise(acc)
 
-    return normalised(F.aggregate(by_probability(p), start, add, lambda acc: acc["kept"]))
+    def cut(items: Column) -> Column:
+        return F.slice(items, F.lit(1), F.aggregate(items, start, add, lambda acc: acc["n"]))
+
+    return normalised(let(by_probability(p), cut))
 
 
 def at_least_kth(p: Column, k: int) -> Column:

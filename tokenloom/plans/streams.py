@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tokenloom.functions import tokens as tk
 from tokenloom.functions.arrays import array_sum, checksum
 from tokenloom.operators.ordering import rank_by_id
-from tokenloom.plans.catalog import register, sql_uniform
+from tokenloom.operators import mixture as mx
+from tokenloom.plans.catalog import ORACLES, register
 from tokenloom.plans.corpus import SEED, documents
 from tokenloom.plans.loader import (
     BATCH,
@@ -16,11 +17,10 @@ from tokenloom.plans.loader import (
     STREAM_SQL,
     WEIGHTS,
     WINDOW,
-    _sql_choice,
     clean_documents,
     packed_windows,
 )
-from tokenloom.session import scratch_path
+from tokenloom.session import scratch_path, written
 from tokenloom.sources import jsonl, writers
 from tokenloom.streaming import jobs
 
@@ -70,20 +70,17 @@ def stream_pack_tokens(spark, sf_dir):
     )
 
 
-@register(
-    "stream_block_shuffle",
-    f"""WITH {STREAM_SQL},
-        b AS (SELECT shard, window_id, check_sum, window_id // {BATCH * PREFETCH} AS block FROM full_windows),
-        r AS (SELECT *, count(*) OVER (PARTITION BY shard, block) AS n, row_number() OVER (PARTITION BY shard, block
-                     ORDER BY {sql_uniform(SEED, "(shard || ':' || window_id)")}, window_id) - 1 AS rn FROM b)
-        SELECT shard, window_id, check_sum, block * {PREFETCH} + rn // {BATCH} AS batch, CAST(rn % {BATCH} AS INT) AS pos_in_batch
-        FROM r WHERE n = {BATCH * PREFETCH}""",
-)
+@register("stream_block_shuffle", ORACLES["block_shuffle_batches"])
 def stream_block_shuffle(spark, sf_dir):
-    """Windows arrive in several files; a block comes out when its last window is in."""
+    """Windows arrive in several files; a block comes out when its last window is in.
+
+    A row without a checksum says how many windows its shard has, so that a short last block comes out too.
+    """
     base = scratch_path(spark, "stream-block")
     windows = packed_windows(spark, sf_dir).select("shard", "window_id", checksum(F.col("window")).alias("check_sum"))
     windows.repartition(4).write.parquet(f"{base}/in")
+    ends = windows.groupBy("shard").agg(F.count(F.lit(1)).alias("window_id"))
+    ends.withColumn("check_sum", F.lit(None).cast("bigint")).coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream = jobs.stream_table(spark, f"{base}/in", "*.parquet", 1)
     mixed = jobs.block_shuffle_stream(stream, "window_id", "check_sum", BATCH, PREFETCH, SEED, "shard")
     jobs.append_to(mixed, f"{base}/out", f"{base}/checkpoint")
@@ -117,19 +114,18 @@ def stream_metric_rollup(spark, sf_dir):
     )
 
 
-@register(
-    "stream_mixture",
-    f"SELECT draw_id, source, row_number() OVER (PARTITION BY source ORDER BY draw_id) - 1 AS ordinal FROM ({_sql_choice()})",
-)
+@register("stream_mixture", ORACLES["mixture_weighted_draws"])
 def stream_mixture(spark, sf_dir):
-    """Draws arrive in three parts; the counters of the sources go on from part to part."""
+    """Draws arrive in three parts; each is handed the next document of its source, epoch after epoch."""
     base = scratch_path(spark, "stream-mixture")
-    draws = documents(spark, sf_dir, "doc_id").select(F.col("doc_id").alias("draw_id"))
+    docs = documents(spark, sf_dir, "doc_id", "lang")
+    slots = written(mx.source_slots(docs, "doc_id", "lang", WEIGHTS), "mixture-slots")
+    draws = docs.select(F.col("doc_id").alias("draw_id"))
     ranked = rank_by_id(draws, "draw_id", "rn")
     third = F.floor(F.col("rn") * 3 / draws.agg(F.count(F.lit(1))).scalar()).cast("int")
     ranked.select("draw_id", third.alias("part")).write.partitionBy("part").parquet(f"{base}/staged")
-    step = jobs.mixture_step("draw_id", WEIGHTS, SEED, f"{base}/out", f"{base}/state")
+    step = jobs.mixture_step("draw_id", WEIGHTS, SEED, slots, "doc_id", f"{base}/out", f"{base}/state")
     for part in range(3):
         spark.read.parquet(f"{base}/staged/part={part}").write.mode("append").parquet(f"{base}/in")
         jobs.run_batches(jobs.stream_table(spark, f"{base}/in", "*.parquet"), step, f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out").select("draw_id", "source", "ordinal")
+    return spark.read.parquet(f"{base}/out").select("draw_id", "source", "epoch", "doc_id")

@@ -18,7 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenloom.functions.arrays import slice_from
 from tokenloom.functions.hashing import md5_uniform
-from tokenloom.operators.mixture import choose_source
+from tokenloom.operators.mixture import choose_source, hand_out
 from tokenloom.operators.ordering import offset_by_id, rank_by_id
 from tokenloom.operators.packing import cut_windows
 
@@ -71,7 +71,9 @@ def block_shuffle_stream(
     """Hold each block of ``prefetch * batch_size`` sequences until it is complete, then emit it shuffled.
 
     The group is one block of one shard, so its state never exceeds the block,
-    and it is removed once the block is out.
+    and it is removed once the block is out.  A row with a null payload ends its
+    shard: ``index`` is then how many sequences the shard has, and a short last
+    block comes out with them (its full batches, as in the batch operator).
     """
     block_rows = prefetch * batch_size
     keyed = df.select(
@@ -83,15 +85,23 @@ def block_shuffle_stream(
     )
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState):
-        held = list(zip(*state.get)) if state.exists else []
+        held, wanted = [], block_rows
+        if state.exists:
+            *columns, wanted = state.get
+            held = list(zip(*columns))
         for pdf in frames:
-            held += list(zip(pdf["u"].tolist(), pdf["idx"].tolist(), pdf["payload"].tolist()))
-        if len(held) < block_rows:
-            state.update(tuple(list(column) for column in zip(*held)))
+            ends = pdf["payload"].isna()
+            for end in pdf["idx"][ends].tolist():
+                wanted = end - key[1] * block_rows
+            rows = pdf[~ends]
+            held += list(zip(rows["u"].tolist(), rows["idx"].tolist(), rows["payload"].astype("int64").tolist()))
+        if len(held) < wanted:
+            columns = [list(column) for column in zip(*held)] or [[], [], []]
+            state.update((*columns, wanted))
             return
         if state.exists:
             state.remove()
-        held.sort()
+        held = sorted(held)[: len(held) // batch_size * batch_size]
         rows = range(len(held))
         yield pd.DataFrame(
             {
@@ -106,7 +116,7 @@ def block_shuffle_stream(
     return keyed.groupBy("shard", "block").applyInPandasWithState(
         step,
         "shard int, idx bigint, payload bigint, batch bigint, pos_in_batch int",
-        "u array<double>, idx array<bigint>, payload array<bigint>",
+        "u array<double>, idx array<bigint>, payload array<bigint>, wanted bigint",
         "append",
         GroupStateTimeout.NoTimeout,
     )
@@ -119,9 +129,13 @@ def _carried(spark: SparkSession, state: str, batch_id: int, schema: str) -> Dat
 
 
 def mixture_step(
-    draw: str, weights: Mapping[str, float], seed: str | int, out: str, state: str
+    draw: str, weights: Mapping[str, float], seed: str | int, slots: DataFrame, key: str, out: str, state: str
 ) -> Callable[[DataFrame, int], None]:
-    """Number each source's draws across micro-batches; the carry-over is one counter per source."""
+    """Hand the next document of its source to each draw; sources go on from micro-batch to micro-batch.
+
+    ``slots`` is a written table of ``key, source, slot`` (see ``source_slots``).  The carry-over is one counter
+    per source, so a hot source is no task's state.
+    """
     schema = "source string, used bigint"
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -133,7 +147,7 @@ def mixture_step(
         placed = ranked.join(counters, "source", "left").select(
             draw, "source", (F.coalesce("used", F.lit(0)) + F.col("_rank")).alias("ordinal")
         )
-        placed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        hand_out(placed, slots, draw, key).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         fresh = drawn.groupBy("source").agg(F.count(F.lit(1)).alias("used"))
         total = before.unionByName(fresh).groupBy("source").agg(F.sum("used").alias("used"))
         total.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +45,13 @@ def symbols_frame(spark: SparkSession, user: Sequence[str], control: Sequence[st
     return spark.createDataFrame(rows, "ord int, symbol string, kind string")
 
 
+def write_symbols_yaml(spark: SparkSession, path: str, user: Sequence[str], control: Sequence[str]) -> None:
+    """The inventory as one YAML file below ``path``; JSON strings are YAML strings."""
+    sections = {"user_defined_symbols": user, "control_symbols": control}
+    lines = [x for name, symbols in sections.items() for x in (f"{name}:", *(f"  - {json.dumps(s)}" for s in symbols))]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+
+
 def symbols_from_yaml(spark: SparkSession, path: str) -> DataFrame:
     """Symbol table from a YAML file with the keys user_defined_symbols and control_symbols."""
     import yaml

@@ -418,11 +418,15 @@ _NUMBERS = """n AS (SELECT i + 1 AS no, lpad(CAST(i AS VARCHAR), 2, '0') AS piec
 @register(
     "extend_vocab_numbers",
     f"""WITH v AS ({_TOP}), {_NUMBERS}
-        SELECT piece, CAST(id AS BIGINT) AS id FROM v WHERE piece NOT IN (SELECT piece FROM n)
-        UNION ALL SELECT piece, (SELECT max(id) FROM v) + no FROM n""",
+        SELECT 'vocab' AS kind, CAST(id AS BIGINT) AS n, piece FROM v WHERE piece NOT IN (SELECT piece FROM n)
+        UNION ALL SELECT 'vocab', (SELECT max(id) FROM v) + no, piece FROM n
+        UNION ALL SELECT 'merge', no - 1, left(piece, -1) || ' ' || right(piece, 1) FROM n""",
 )
 def extend_vocab_numbers(spark, sf_dir):
-    return vb.extend_with_numbers(word_vocab(spark, sf_dir))
+    """The vocabulary with the number pieces, and the merges that build them."""
+    vocab = vb.extend_with_numbers(word_vocab(spark, sf_dir)).select(F.lit("vocab").alias("kind"), F.col("id").alias("n"), "piece")
+    merges = vb.number_merges(spark).select(F.lit("merge").alias("kind"), (F.col("no") - 1).alias("n"), F.concat_ws(" ", "left", "right").alias("piece"))
+    return vocab.unionByName(merges)
 
 
 @register(
@@ -491,13 +495,14 @@ SYMBOL_RUNS = "</?[a-z0-9_]+>|[0-9]+|\\n+|\\t|\\[@BOS@\\]"
         SELECT ord, symbol, kind, coalesce(n, 0) AS n FROM s LEFT JOIN u ON u.run = s.symbol""",
 )
 def symbols_table(spark, sf_dir):
-    """The symbol inventory with the number of times each symbol stands in the pages."""
+    """The symbol inventory, loaded from its YAML file, with the number of times each symbol stands in the pages."""
     runs = spread(table(spark, sf_dir, "pages"), scan_partitions(spark)).select(
         F.explode(F.regexp_extract_all("html", F.lit(SYMBOL_RUNS), F.lit(0))).alias("symbol")
     )
     used = runs.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    symbols = vb.symbols_frame(spark, vb.user_symbols(), vb.CONTROL_SYMBOLS)
-    return symbols.join(used, "symbol", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    path = scratch_path(spark, "symbols")
+    vb.write_symbols_yaml(spark, path, vb.user_symbols(), vb.CONTROL_SYMBOLS)
+    return vb.symbols_from_yaml(spark, path).join(used, "symbol", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 @register(
@@ -520,21 +525,30 @@ def vocab_merges_tables(spark, sf_dir):
 
 @register(
     "sink_tokenizer_artifacts",
-    f"""SELECT 'vocab' AS kind, CAST(id AS BIGINT) AS n, piece FROM ({_SLOTS})
+    f"""WITH RECURSIVE {_BYTE_TRAINING}, {_NUMBERS}
+        SELECT 'vocab' AS kind, CAST(id AS BIGINT) AS n, piece FROM ({_SLOTS})
+        UNION ALL SELECT 'merge', rank, l || ' ' || r FROM m
+        UNION ALL SELECT 'merge', (SELECT count(*) FROM m) + no - 1, left(piece, -1) || ' ' || right(piece, 1) FROM n
         UNION ALL SELECT 'config', CAST({vb.UNUSED_SLOTS - 1 - len(NEW_SPECIALS)} AS BIGINT), '{' '.join(NEW_SPECIALS)}'""",
 )
 def sink_tokenizer_artifacts(spark, sf_dir):
+    """Vocabulary, trained merges with those of the numbers, and configuration, written and read back."""
     vocab = slot_vocab(spark, sf_dir)
     path = scratch_path(spark, "tokenizer")
     free = vb.unused_pieces(vocab).count() - 1 - len(NEW_SPECIALS)
     config = spark.createDataFrame(
         [(vocab.count(), free, NEW_SPECIALS)], "vocab_size bigint, available_unused_slots bigint, special_tokens array<string>"
     )
-    no_merges = spark.createDataFrame([], "rank int, left string, right string")
-    writers.write_tokenizer(vocab, no_merges, config, path)
+    trained = byte_merges(spark, sf_dir)
+    numbers = vb.number_merges(spark).select((F.col("no") - 1 + len(trained)).cast("int").alias("rank"), "left", "right")
+    writers.write_tokenizer(vocab, bpe.merges_frame(spark, trained).unionByName(numbers), config, path)
     back = spark.read.schema("piece string, id bigint").json(f"{path}/vocab")
+    merges = spark.read.schema("rank bigint, left string, right string").json(f"{path}/merges")
     conf = spark.read.schema(config.schema).json(f"{path}/config")
-    return back.select(F.lit("vocab").alias("kind"), F.col("id").alias("n"), "piece").unionByName(
+    tables = back.select(F.lit("vocab").alias("kind"), F.col("id").alias("n"), "piece").unionByName(
+        merges.select(F.lit("merge").alias("kind"), F.col("rank").alias("n"), F.concat_ws(" ", "left", "right").alias("piece"))
+    )
+    return tables.unionByName(
         conf.select(
             F.lit("config").alias("kind"),
             F.col("available_unused_slots").alias("n"),

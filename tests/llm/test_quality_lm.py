@@ -80,28 +80,89 @@ def test_base_scores(spark):
     assert all(r.score < 0 for r in found)
 
 
+def plain_model(vocabulary, parameters, counts):
+    """Probability of a word (None: end of text) after the words before it, one score at a time."""
+    own = vocabulary.words[: vocabulary.class_words]
+    classes = {w: i for i, w in enumerate(own)}
+    end = len(parameters["b"]) - 1
+    beyond = Counter()
+    for w, n in counts.items():
+        if w not in classes:
+            beyond[ending(vocabulary, w)] += n + 1
+
+    def class_of(word):
+        return end if word is None else classes.get(word, len(own) + ending(vocabulary, word))
+
+    def probability(before, word):
+        two, one = [class_of(w) for w in [None, None, *before]][-2:]
+        hidden = parameters["r"][one] * parameters["c"][0] + parameters["r"][two] * parameters["c"][1]
+        exps = [math.exp(sum(float(h) * float(q) for h, q in zip(hidden, row)) + float(b)) for row, b in zip(parameters["q"], parameters["b"])]
+        share = 1.0
+        if word is not None and word not in classes:
+            share = (counts.get(word, 0) + 1) / (beyond[ending(vocabulary, word)] + 1)
+        return exps[class_of(word)] / sum(exps) * share
+
+    return probability
+
+
+def ending(vocabulary, word):
+    return int(lm.word_endings([word], vocabulary.endings)[0])
+
+
 def test_probabilities_of_all_words_add_up_to_one(spark):
     train = frame(spark, [(i, "a a b c d e a b a\nf", "", "", 1) for i in range(6)])
     counts = {bytes(r.word): r.n for r in lm.count_words(train).collect()}
-    vocabulary = lm.learn_vocabulary(lm.count_words(train), 6, classes=4, head=100)
-    parameters = lm.train(train, vocabulary)
-    every = [*counts, b"unseen"]
+    vocabulary = lm.learn_vocabulary(lm.count_words(train), 6, classes=6, head=100)
+    probability = plain_model(vocabulary, lm.train(train, vocabulary), counts)
+    unseen = {}
+    for i in range(100):
+        unseen.setdefault(ending(vocabulary, b"unseen%d" % i), b"unseen%d" % i)
+    assert len(unseen) == vocabulary.endings == 3 and vocabulary.class_words == 2
     for before in ([], [b"a"], [b"zz", b"b"]):
+        assert abs(sum(probability(before, w) for w in [*counts, *unseen.values(), None]) - 1) < 1e-4
+
+
+def test_scores_equal_a_plain_model(spark):
+    docs = odd_docs(spark)
+    training = docs.filter(~lm.is_held_out(docs.doc_id))
+    table = lm.count_words(training)
+    counts = {bytes(r.word): r.n for r in table.collect()}
+    vocabulary = lm.learn_vocabulary(table, training.count(), classes=24, head=30)
+    assert 0 < vocabulary.class_words < len(vocabulary.words) < len(counts)
+    parameters = lm.train(training, vocabulary, rounds=2)
+    probability, wanted = plain_model(vocabulary, parameters, counts), Counter()
+    known = {}
+    for doc_id, text, *_ in texts():
+        words = [*(w.lower().encode() for w in WORD.findall(text or "")), None]
         total = 0.0
-        for word in every:
-            total += word_probability(vocabulary, parameters, before, word, counts)
-        total += word_probability(vocabulary, parameters, before, None, counts)
-        assert abs(total - 1) < 1e-4
-
-
-def word_probability(vocabulary, parameters, before, word, counts):
-    classes = {w: i for i, w in enumerate(vocabulary.words[: vocabulary.class_words])}
-    other, end = vocabulary.class_words, vocabulary.class_words + 1
-    one, two = ([end, end, *[classes.get(w, other) for w in before]])[::-1][:2]
-    own = end if word is None else classes.get(word, other)
-    log = lm.Scorer(parameters).log_probabilities(*[np.array([x]) for x in (own, one, two)])[0]
-    share = (counts.get(word, 0) + 1) / (vocabulary.other_tokens + vocabulary.other_types + 1) if own == other else 1.0
-    return math.exp(log) * share
+        for i, word in enumerate(words):
+            key = (*[None, None, *words[:i]][-2:], word)
+            if key not in known:
+                known[key] = math.log10(probability(words[max(0, i - 2) : i], word))
+            total += known[key]
+        wanted[doc_id, round(total, 1)] += 1
+    found = lm.score_with(docs, table, vocabulary, parameters).collect()
+    for r in found:
+        near = [k for k in wanted if k[0] == r.doc_id and abs(k[1] - r.score) < 0.06 + 1e-5 * abs(r.score)]
+        assert near and wanted[near[0]] > 0
+        wanted[near[0]] -= 1
+    assert not +wanted
+
+
+def test_words_of_any_length_and_sums_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    monkeypatch.setattr(lm, "HEAD_BYTES", 5)
+    rows = [(i, f"aa bb {'long' * 50} aa", "", "", 1) for i in range(20)]
+    docs = frame(spark, rows).repartition(9)
+    vocabulary = lm.learn_vocabulary(lm.count_words(docs), 20, classes=8)
+    assert vocabulary.words == [b"aa", b"bb"] and vocabulary.tokens == 100
+    split, whole = lm.train(docs, vocabulary), lm.start_parameters(vocabulary.class_counts())
+    assert all(split[k].shape == whole[k].shape and np.isfinite(split[k]).all() for k in "rqcb")
+    parts = spark.range(9, numPartitions=9).selectExpr("id AS seen").collect()
+    blobs = spark.createDataFrame([(r.seen, np.array([1.0, r.seen]).tobytes()) for r in parts], "seen bigint, flat binary").repartition(9)
+    sums = lm.added_up(blobs, 9)
+    assert len(sums) <= 2 and sum(s for s, _ in sums) == 36 and np.sum([f for _, f in sums], axis=0).tolist() == [9.0, 36.0]
+    assert len({round(r.score, 9) for r in lm.score_texts(docs, classes=8).collect()}) == 1
 
 
 def test_model_learns_order_on_held_out_texts(spark):

@@ -1,14 +1,15 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
-Tokens are the lower-cased words of a text and one end.  The ``classes - 2`` most frequent words,
-the end and "any other word" are the classes of the model.  It scores a class ``w`` after the
-classes ``u, v`` as ``(c1 * r[v] + c2 * r[u]) . q[w] + b[w]`` and is normalised over all classes;
-another word then has its smoothed share among the other words.  So the probabilities of all
-words and one unseen word add up to one.
+Tokens are the lower-cased words of a text and one end.  Every token has vectors: the most frequent
+words and the end are classes of their own, and each other word belongs to the class of its last bytes,
+whether it was seen in training or not.  The model scores a class ``w`` after the classes ``u, v`` as
+``(c1 * r[v] + c2 * r[u]) . q[w] + b[w]`` and is normalised over all classes; a word of an ending then
+has its smoothed share among the words of that ending.  So the probabilities of all words and one unseen
+word of each ending add up to one.
 
 Training passes over every training token.  Each task starts from the same parameters and learns on
-its own texts; the results are averaged, weighted by tokens, with one row per parameter and task in a
-partially aggregated shuffle.  Word counts are exact.  The most frequent ``HEAD_WORDS`` go to all
+its own texts; the results, one row a task, are added up ``FAN_IN`` to one and averaged by tokens.
+Word counts are exact.  The most frequent ``HEAD_WORDS`` of at most ``HEAD_BYTES`` bytes go to all
 tasks; the counts of all other words meet the texts in a join by word.
 """
 
@@ -27,12 +28,15 @@ from pyspark.sql import functions as F
 from tokenloom.llm.batches import Chunk, SpanHash, ascii_lower, find_words, text_chunks
 from tokenloom.llm.storage import staged
 
-CLASSES = 512
+CLASSES = 1024
+ENDING_BYTES = 3
 DIM = 12
 NOISE = 24
 BATCH = 1024
 RATE = 0.05
 HEAD_WORDS = 1 << 17
+HEAD_BYTES = 64
+FAN_IN = 64
 COUNT_RANGES = 64
 FLUSH_WORDS = 200_000
 CONTEXTS_AT_ONCE = 2048
@@ -65,40 +69,76 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(work, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def ending_classes(hashes: SpanHash, start: np.ndarray, end: np.ndarray, endings: int) -> np.ndarray:
+    """The class, from 0, of the last ``ENDING_BYTES`` bytes of each word."""
+    return (hashes.of(np.maximum(start, end - ENDING_BYTES), end) % np.uint64(endings)).astype(np.int32)
+
+
+def word_endings(words: list[bytes], endings: int) -> np.ndarray:
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    starts = ends - np.array([len(w) for w in words], dtype=np.int64)
+    return ending_classes(SpanHash(np.frombuffer(b"".join(words), dtype=np.uint8)), starts, ends, endings)
+
+
 @dataclass
 class Vocabulary:
-    """Head words with their counts in order of frequency, and the totals of the training tokens."""
+    """Head words with their counts in order of frequency, and the totals of the training tokens.
+
+    ``ending_tokens`` and ``ending_types`` are those of the words that have no class of their own.
+    """
 
     words: list[bytes]
     counts: np.ndarray
     tokens: int
     types: int
     ends: int
-    classes: int
+    class_words: int
+    ending_tokens: np.ndarray
+    ending_types: np.ndarray
 
     @property
-    def class_words(self) -> int:
-        return min(len(self.words), self.classes - 2)
+    def endings(self) -> int:
+        return len(self.ending_tokens)
 
-    @property
-    def other_tokens(self) -> int:
-        return self.tokens - self.ends - int(self.counts[: self.class_words].sum())
+    def class_counts(self) -> np.ndarray:
+        """By class: words 0.., then endings, then the end of a text."""
+        return np.array([*self.counts[: self.class_words], *self.ending_tokens, self.ends], dtype=np.float64)
 
-    @property
-    def other_types(self) -> int:
-        return self.types - (self.ends > 0) - self.class_words
+    def ending_levels(self) -> np.ndarray:
+        """By class: log10 of what the share of a word within its class is divided by."""
+        levels = np.zeros(self.class_words + self.endings + 1)
+        levels[self.class_words : -1] = np.log10(self.ending_tokens + self.ending_types + 1.0)
+        return levels
 
-    def class_counts(self) -> np.ndarray:
-        """By class: words 0.., then "other", then the end."""
-        return np.array([*self.counts[: self.class_words], self.other_tokens, self.ends], dtype=np.float64)
+
+def ending_totals(counts: DataFrame, endings: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and words of each class of endings, over all words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, types = np.zeros(endings, dtype=np.int64), np.zeros(endings, dtype=np.int64)
+        for batch in batches:
+            times = batch.column("n").to_numpy()
+            for chunk in text_chunks(batch.column("word")):
+                at = ending_classes(SpanHash(chunk.data), chunk.bounds[:-1], chunk.bounds[1:], endings)
+                np.add.at(tokens, at, times[chunk.first : chunk.first + chunk.rows])
+                types += np.bincount(at, minlength=endings)
+        columns = [pa.array(np.arange(endings)), pa.array(tokens), pa.array(types)]
+        yield pa.RecordBatch.from_arrays(columns, names=["at", "tokens", "types"])
+
+    parts = counts.select("word", "n").mapInArrow(work, "at bigint, tokens bigint, types bigint")
+    tokens, types = np.zeros(endings, dtype=np.int64), np.zeros(endings, dtype=np.int64)
+    for row in parts.groupBy("at").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).collect():
+        tokens[row["at"]], types[row["at"]] = row["tokens"], row["types"]
+    return tokens, types
 
 
 def head_words(counts: DataFrame, most: int) -> list:
     """The most frequent words, at most ``most``: all whose count lies in the highest ranges that fit.
 
     A table of words by range of count (``COUNT_RANGES`` to a doubling) finds the least count, so no task
-    returns words that are not in the head.
+    returns words that are not in the head.  Words above ``HEAD_BYTES`` are left to the join.
     """
+    counts = counts.filter(F.length("word") <= HEAD_BYTES)
     step = F.floor(F.log2(F.col("n")) * COUNT_RANGES).cast("int")
     sizes = sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
     total, least = 0, None
@@ -113,30 +153,38 @@ def head_words(counts: DataFrame, most: int) -> list:
 
 
 def learn_vocabulary(counts: DataFrame, documents: int, classes: int = CLASSES, head: int = HEAD_WORDS) -> Vocabulary:
-    """Every document adds one end.  The head is a fixed number of rows at most."""
+    """Every document adds one end.  The head is a fixed number of rows at most; half of the classes are endings."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = head_words(counts, head)
     words = [bytes(r["word"]) for r in top]
     numbers = np.array([r["n"] for r in top], dtype=np.int64)
-    return Vocabulary(words, numbers, total[0] + documents, total[1] + (documents > 0), documents, classes)
+    endings = max(1, classes // 2)
+    own = min(len(words), max(0, classes - endings - 1))
+    ending_tokens, ending_types = ending_totals(counts, endings)
+    at = word_endings(words[:own], endings)
+    np.subtract.at(ending_tokens, at, numbers[:own])
+    np.subtract.at(ending_types, at, 1)
+    tokens, types = total[0] + documents, total[1] + (documents > 0)
+    return Vocabulary(words, numbers, tokens, types, documents, own, ending_tokens, ending_types)
 
 
 class ClassIndex:
     """Classes of the words of a chunk, by hash of their lower-cased bytes."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes], endings: int):
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         ends = np.cumsum([len(w) for w in words], dtype=np.int64)
         hashes = SpanHash(data).of(ends - [len(w) for w in words], ends) if words else np.zeros(0, np.uint64)
         self.order = np.argsort(hashes)
         self.sorted = hashes[self.order]
-        self.other, self.end = len(words), len(words) + 1
+        self.words, self.endings, self.end = len(words), endings, len(words) + endings
 
     def tokens(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all tokens of the chunk (each row closed by its end), and where each row begins."""
         words = find_words(chunk)
-        hashes = SpanHash(ascii_lower(chunk.data)).of(words.start, words.end)
-        found = np.full(len(hashes), self.other, dtype=np.int32)
+        spans = SpanHash(ascii_lower(chunk.data))
+        hashes = spans.of(words.start, words.end)
+        found = self.words + ending_classes(spans, words.start, words.end, self.endings)
         if len(self.sorted):
             place = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
             hit = self.sorted[place] == hashes
@@ -214,32 +262,52 @@ class Trainer:
             self.step(target[picked], one[picked], two[picked])
 
 
+def added_up(parts: DataFrame, tasks: int) -> list[tuple[int, np.ndarray]]:
+    """Sum of the rows ``seen, flat`` (doubles as bytes): ``FAN_IN`` partitions become one until few are left."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, flat = 0, None
+        for batch in batches:
+            for weight, blob in zip(batch.column("seen").to_pylist(), batch.column("flat").to_pylist(), strict=True):
+                more = np.frombuffer(blob, dtype=np.float64)
+                seen, flat = seen + weight, more.copy() if flat is None else flat + more
+        if flat is not None:
+            columns = [pa.array([seen]), pa.array([flat.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["seen", "flat"])
+
+    while tasks > FAN_IN:
+        tasks = -(-tasks // FAN_IN)
+        parts = parts.repartition(tasks).mapInArrow(work, "seen bigint, flat binary")
+    return [(row["seen"], np.frombuffer(row["flat"], dtype=np.float64)) for row in parts.collect()]
+
+
 def train(train_docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str, np.ndarray]:
     """Parameters learnt on all training texts; without any they are the start."""
     counts = vocabulary.class_counts()
     parameters = start_parameters(counts)
-    words = vocabulary.words[: vocabulary.class_words]
+    words, endings = vocabulary.words[: vocabulary.class_words], vocabulary.endings
+    texts = train_docs.select("text")
     for turn in range(rounds):
         start = train_docs.sparkSession.sparkContext.broadcast(parameters)
 
         def work(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            index = ClassIndex(words)
+            index = ClassIndex(words, endings)
             trainer = Trainer(start.value, counts, TaskContext.get().partitionId() * 1000 + turn)
             for batch in batches:
                 for chunk in text_chunks(batch.column("text")):
                     tokens, first = index.tokens(chunk)
                     trainer.learn(tokens, *index.contexts(tokens, first))
-            flat = np.concatenate([trainer.p[k].ravel() for k in "rqcb"]).astype(np.float64) * trainer.seen
-            columns = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), float(trainer.seen)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "weight"])
-
-        learnt = train_docs.select("text").mapInArrow(work, "at bigint, value double, weight double")
-        rows = learnt.groupBy("at").agg(F.sum("value").alias("v"), F.sum("weight").alias("w")).collect()
-        if not rows or not rows[0]["w"]:
+            if trainer.seen:
+                flat = np.concatenate([trainer.p[k].ravel() for k in "rqcb"]).astype(np.float64) * trainer.seen
+                columns = [pa.array([trainer.seen]), pa.array([flat.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["seen", "flat"])
+
+        learnt = texts.mapInArrow(work, "seen bigint, flat binary")
+        sums = added_up(learnt, texts.rdd.getNumPartitions())
+        start.unpersist()
+        if not sums:
             break
-        flat = np.zeros(len(rows))
-        for row in rows:
-            flat[row["at"]] = row["v"] / row["w"]
+        flat = np.sum([values for _, values in sums], axis=0) / sum(seen for seen, _ in sums)
         at = 0
         for k in "rqcb":
             size = parameters[k].size
@@ -278,7 +346,7 @@ class Scorer:
 
 
 ROWS = (
-    "row_id bigint, doc_id bigint, held_out boolean, n_tokens bigint, others bigint, known bigint, base_logs double, "
+    "row_id bigint, doc_id bigint, held_out boolean, n_tokens bigint, other_levels double, known bigint, base_logs double, "
     "model_logs double, other_logs double, words array<binary>, times array<bigint>"
 )
 
@@ -289,7 +357,8 @@ def score_heads(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, parameters = shared.value
-        index, scorer = ClassIndex(vocabulary.words[: vocabulary.class_words]), Scorer(parameters)
+        index = ClassIndex(vocabulary.words[: vocabulary.class_words], vocabulary.endings)
+        scorer, levels = Scorer(parameters), vocabulary.ending_levels()
         logs = np.log10(vocabulary.counts + 1.0)
         place = {w: i for i, w in enumerate(vocabulary.words)}
         end_log, number = float(np.log10(vocabulary.ends + 1)), TaskContext.get().partitionId() << 40
@@ -298,7 +367,7 @@ def score_heads(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, n
                 tokens, first = index.tokens(chunk)
                 each = scorer.log_probabilities(tokens, *index.contexts(tokens, first))
                 sums = np.concatenate([[0.0], np.cumsum(each)])
-                beyond = np.concatenate([[0], np.cumsum(tokens == index.other)])
+                beyond = np.concatenate([[0.0], np.cumsum(levels[tokens])])
                 others = beyond[first[1:]] - beyond[first[:-1]]
                 model = (sums[first[1:]] - sums[first[:-1]]) * LOG10_E
                 known, base, other, words, times = [], [], [], [], []
@@ -342,7 +411,11 @@ def score_texts(docs: DataFrame, classes: int = CLASSES, head: int = HEAD_WORDS,
     training = docs.filter(~is_held_out(F.col("doc_id")))
     counts = staged(count_words(training), "lm-counts")
     vocabulary = learn_vocabulary(counts, training.select("doc_id").count(), classes, head)
-    parameters = train(training, vocabulary, rounds)
+    return score_with(docs, counts, vocabulary, train(training, vocabulary, rounds))
+
+
+def score_with(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndarray]) -> DataFrame:
+    """The scores of every row by a trained model; ``counts`` are those of all its training words."""
     rows = staged(score_heads(docs, vocabulary, parameters), "lm-rows")
     outside = rows.select("row_id", F.explode(F.arrays_zip("words", "times")).alias("x"))
     outside = outside.select("row_id", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
@@ -354,12 +427,11 @@ def score_texts(docs: DataFrame, classes: int = CLASSES, head: int = HEAD_WORDS,
     both = rows.drop("words", "times").join(met, F.col("row_id") == F.col("of"), "left")
     none = F.lit(0)
     base_level = float(np.log10(vocabulary.tokens + 1.0 * (vocabulary.types + 1)))
-    other_level = float(np.log10(vocabulary.other_tokens + vocabulary.other_types + 1.0))
     rare_logs = F.coalesce("rare_logs", none)
     return both.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
         F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base_logs") + rare_logs - F.col("n_tokens") * base_level).alias("base_score"),
-        (F.col("model_logs") + F.col("other_logs") + rare_logs - F.col("others") * other_level).alias("score"),
+        (F.col("model_logs") + F.col("other_logs") + rare_logs - F.col("other_levels")).alias("score"),
     )

@@ -64,3 +64,20 @@ def test_items_of_equal_text_are_pairs_of_their_own(spark):
     table = spark.createDataFrame([(1, text), (2, text), (2, text)], "item_id bigint, text string")
     found = decontamination.contaminated_pairs(frame(spark, [(7, f"so {text} on", "", "", 1)]), table)
     assert sorted((r.doc_id, r.item_id, r.score) for r in found.collect()) == [(7, 1, 1.0), (7, 2, 1.0)]
+
+
+def test_items_of_one_or_two_words_are_found_whole(spark):
+    table = spark.createDataFrame(
+        [(1, "cat sat"), (2, "Sat"), (3, "mat mat"), (4, ""), (5, None), (6, " \t"), (7, "on the cat")], "item_id bigint, text string"
+    )
+    rows = [
+        (1, "the cat sat on", "", "", 1), (2, "cat on sat", "", "", 1), (3, "sat cat", "", "", 1), (4, "mat", "", "", 1),
+        (5, "a MAT mat", "", "", 1), (6, None, "", "", 1), (7, "", "", "", 1), (8, "sat", "", "", 1), (9, "x " * 9000 + "cat sat", "", "", 1),
+        (None, "cat sat", "", "", 1), (1, "the cat sat on", "", "", 1),
+    ]
+    found = decontamination.contaminated_pairs(frame(spark, rows), table).collect()
+    short = sorted(((r.doc_id or 0, r.item_id) for r in found if r.item_id != 7))
+    assert short == [(0, 1), (0, 2), (1, 1), (1, 1), (1, 2), (1, 2), (2, 2), (3, 2), (5, 3), (8, 2), (9, 1), (9, 2)]
+    assert all(r.score == 1.0 for r in found if r.item_id != 7)
+    kept = decontamination.keep_clean(frame(spark, rows), table.filter("item_id IN (1, 3)"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 7, 8]

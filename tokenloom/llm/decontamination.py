@@ -9,6 +9,9 @@ cost 1; then ``2p + q >= 2ms - 2``, and each of these steps is a seed pair at a
 are ``m - 1`` first words, so at most ``m(1 - s)`` have no pair in the text: of any ``floor(m(1 - s)) + 1``
 first words one has.  The rarest are taken, by the count of their pairs over the whole corpus; which are
 rare decides the work alone.  Nothing bounds the number of texts of an item or of seeds in a text.
+
+An item of one or two words would reach 0.5 by one common word, so it counts only where it stands whole.
+The word of a one-word item, taken with itself, is its seed.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from tokenloom.llm.storage import staged
 
 LEAST_WORDS = 3
 STEPS = (1, 2)
+WITH_ITSELF = (0,)
 MATCH, OTHER, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 CELLS = 1 << 21
@@ -57,29 +61,33 @@ def local_scores(item: np.ndarray, passages: np.ndarray) -> np.ndarray:
     return best
 
 
-def pair_hashes(chunk: Chunk) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The words of a chunk, and for each pair of words one or two apart in a row the first word and a hash."""
+def pair_hashes(chunk: Chunk, steps: tuple[int, ...] = STEPS) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The words of a chunk, and for each pair of words so many apart in a row the first word and a hash."""
     words = find_words(chunk)
     hashes = SpanHash(ascii_lower(chunk.data)).of(words.start, words.end)
     firsts, pairs = [], []
-    for step in STEPS:
-        at = np.flatnonzero(words.row[:-step] == words.row[step:])
+    for step in steps:
+        at = np.flatnonzero(words.row[: max(0, len(hashes) - step)] == words.row[step:])
         firsts.append(at)
         pairs.append(mixed(hashes[at] * np.uint64(BASE) + hashes[at + step]))
     return words, np.concatenate(firsts), np.concatenate(pairs)
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """``item_key, item_id, item_text, words, place, gram`` for every pair of every item, repeated items once."""
+    """``item_key, item_id, item_text, words, place, gram`` for every pair of every item, repeated items once.
+
+    An item of one word has that word with itself.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch.column("item_text")):
                 words, at, grams = pair_hashes(chunk)
+                _, one, own = pair_hashes(chunk, WITH_ITSELF)
+                single = np.diff(words.first)[words.row[one]] == 1
+                at, grams = np.concatenate([at, one[single]]), np.concatenate([grams, own[single]])
                 row = words.row[at]
                 size = np.diff(words.first)[row]
-                long = size >= LEAST_WORDS
-                row, at, grams, size = row[long], at[long], grams[long], size[long]
                 take = pa.array(row + chunk.first)
                 columns = [batch.column(c).take(take) for c in names[:3]]
                 columns += [pa.array(x.astype(np.int32)) for x in (size, at - words.first[row])]
@@ -93,21 +101,21 @@ def item_grams(items: DataFrame) -> DataFrame:
     return rows.distinct().mapInArrow(work, schema)
 
 
-def gram_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
+def gram_counts(docs: DataFrame, grams: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
     """``gram, n``: how often texts hold each pair of an item (and a few others that share its bit)."""
     shared = docs.sparkSession.sparkContext.broadcast(key_bitmap(grams, "gram"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch.column("text")):
-                found = signed(pair_hashes(chunk)[2])
+                found = signed(pair_hashes(chunk, steps)[2])
                 gram, n = np.unique(found[may_hold(shared.value, found)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
     return docs.select("text").mapInArrow(work, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def gram_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
+def gram_hits(docs: DataFrame, grams: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
     """``row_key, gram, place``: where texts hold a pair of ``grams`` (or, rarely, one that shares its bit)."""
     shared = docs.sparkSession.sparkContext.broadcast(key_bitmap(grams, "gram"))
 
@@ -116,7 +124,7 @@ def gram_hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch.column("row_key").to_numpy()
             for chunk in text_chunks(batch.column("text")):
-                words, at, found = pair_hashes(chunk)
+                words, at, found = pair_hashes(chunk, steps)
                 hit = may_hold(bitmap, signed(found))
                 at, found = at[hit], found[hit]
                 row = words.row[at]
@@ -188,6 +196,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     padded[k, : b - a] = hashes
                 scores = local_scores(items[text], padded) / (MATCH * max(1, len(items[text])))
                 for (pair, a, b, _), score in zip(part, scores.tolist(), strict=True):
+                    score = score if len(items[text]) >= LEAST_WORDS or score == 1 else 0.0
                     best[pair] = max(best.get(pair, (-1.0, 0, 0)), (score, a, b))
         rows = [[batch.column("doc_id")[pair[0]].as_py(), ids[pair], *found] for pair, found in best.items()]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
@@ -200,15 +209,16 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, min_score: float = MIN
     """``doc_id, item_id, score, first_word, last_word`` of each text and item that align well enough.
 
     ``docs``: ``doc_id, text``; ``items``: ``item_id, text``.  The words compared are ``[first_word, last_word)``.
-    Items of fewer than three words and null or empty texts match nothing.  Repeated rows of ``docs`` give
+    Items of one or two words are found only whole; null or empty items and texts match nothing.  Repeated rows of ``docs`` give
     repeated pairs; repeated items count once.  Empty tables give no pairs.
     """
     if not 1 / LEAST_WORDS < min_score <= 1:
         raise ValueError("min_score must be above 1/3, where one word of three is enough, and at most 1")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), F.col("doc_id").cast("bigint"), "text")
     grams = staged(item_grams(items), "leak-grams")
-    seeds = staged(rare_seeds(grams, gram_counts(rows, grams), min_score), "leak-seeds")
-    hits = gram_hits(rows, seeds).distinct().withColumnRenamed("gram", "hit")
+    steps = STEPS if grams.filter("words = 1").isEmpty() else WITH_ITSELF + STEPS
+    seeds = staged(rare_seeds(grams, gram_counts(rows, grams, steps), min_score), "leak-seeds")
+    hits = gram_hits(rows, seeds, steps).distinct().withColumnRenamed("gram", "hit")
     near = hits.join(seeds, F.col("hit") == F.col("gram")).select(
         "row_key", "item_key", (F.col("place") - F.col("item_place")).alias("start")
     )

@@ -120,6 +120,39 @@ def test_next_fit(spark):
             assert got[c, i] == batch
 
 
+def plain_next_fit(lengths, budget):
+    batches, batch, used = [], 0, 0
+    for i, n in enumerate(lengths):
+        if i and used + n > budget:
+            batch, used = batch + 1, 0
+        used += n
+        batches.append(batch)
+    return batches
+
+
+def test_next_fit_over_requests_of_any_size(spark):
+    rng = random.Random(4)
+    requests = {
+        1: [rng.choice([0, 1, 3, 7, 20, 40]) for _ in range(700)],
+        2: [5],
+        3: [50, 0, 0, 50, 20, 0, 1],
+        4: [0] * 30,
+        5: [20] * 65,
+        6: [1] * 200,
+    }
+    rows = [(c, 1000 - 3 * i if c == 2 else 3 * i, n) for c, lengths in requests.items() for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "call long, id long, n long").repartition(5)
+    got = {(r["call"], r["id"]): r["batch"] for r in bt.batch_requests_of_any_size(df, "id", "n", 20, "call").collect()}
+    wanted = {}
+    for c, lengths in requests.items():
+        ids = sorted(i for k, i, _ in rows if k == c)
+        wanted |= {(c, i): b for i, b in zip(ids, plain_next_fit(lengths, 20), strict=True)}
+    assert got == wanted
+    assert bt.batch_requests_of_any_size(df.limit(0), "id", "n", 20, "call").count() == 0
+    null = spark.createDataFrame([(1, 1, None), (1, 2, 20), (1, 3, None), (1, 4, 1)], "call long, id long, n long")
+    assert sorted((r.id, r.batch) for r in bt.batch_requests_of_any_size(null, "id", "n", 20, "call").collect()) == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def test_slices_and_ranks_by_text_keys(spark):
     keys = [f"{'é' if i % 3 else 'a'}{i * 7919 % 1000:04d}" for i in range(900)] + ["", "a", "same-start-1", "same-start-2"]
     df = spark.createDataFrame([(k,) for k in keys], "k string")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import md5_uniform
-from tokenloom.operators.ordering import rank_by_hash, rank_by_id, row_total
+from tokenloom.operators.ordering import offset_by_id, ordered_bucket, rank_by_hash, rank_by_id, row_total, running_offset
+from tokenloom.session import written
 
 
 def block_shuffle(
@@ -82,7 +83,7 @@ def batch_by_token_budget(
 
     Each prompt's batch depends on the one before it, so one call's prompts are
     folded in order.  Only (key, length) enter the fold, and ``call`` must be a
-    bounded request of prompts.
+    bounded request of prompts (``batch_requests_of_any_size`` has no such bound).
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -99,6 +100,40 @@ def batch_by_token_budget(
     return narrow.groupBy(call).applyInPandas(fold, f"{call} bigint, {key} bigint, {length} bigint, batch bigint")
 
 
+def batch_requests_of_any_size(df: DataFrame, key: str, length: str, max_elements: int, call: str) -> DataFrame:
+    """The same next-fit batches ``(call, key, length, batch)`` without a task that holds a request.
+
+    Where the batch after the one that starts at a row begins follows from prefix sums: before the first row
+    that ends beyond the row's offset plus the budget.  The steps from start to start are doubled in each round,
+    so the starts that are known double too: after ``r`` rounds they are the first ``2^r`` of every request.
+    A round exchanges three numbers a row.  Keys are unique within a request; a null length counts as 0.
+    """
+    n = F.coalesce(F.col(length).cast("bigint"), F.lit(0).cast("bigint"))
+    narrow = df.select(F.col(call).cast("bigint"), F.col(key).cast("bigint"), n.alias(length))
+    ranked = rank_by_id(narrow, key, "_at", [call])
+    rows = written(offset_by_id(ranked, F.col(length), key, "_from", [call]), "request-rows")
+    ends = rows.select(call, "_at", (F.col("_from") + F.col(length)).alias("_x"), F.lit(1).alias("_end"))
+    limits = rows.select(call, "_at", (F.col("_from") + max_elements).alias("_x"), F.lit(0).alias("_end"))
+    both = ends.unionByName(limits)
+    # a limit comes after the ends it equals, so it counts every row that fits
+    order = [F.col("_x"), F.desc("_end")]
+    fits = running_offset(both, F.col("_end"), ordered_bucket(both, "_x"), order, "_fit", [call]).filter("_end = 0")
+    steps = written(fits.select(call, "_at", F.greatest(F.col("_at") + 1, "_fit").alias("_next")), "request-steps")
+    starts = steps.filter("_at = 0").select(call, "_at")
+    while True:
+        further = written(starts.join(steps, [call, "_at"]).select(call, F.col("_next").alias("_at")), "request-starts")
+        if further.isEmpty():
+            break
+        starts = starts.unionByName(further)
+        after = steps.select(F.col(call).alias("_call"), F.col("_at").alias("_to"), F.col("_next").alias("_after"))
+        twice = steps.join(after, (F.col(call) == F.col("_call")) & (F.col("_next") == F.col("_to")))
+        steps = written(twice.select(call, "_at", F.col("_after").alias("_next")), "request-steps")
+    first = F.coalesce("_first", F.lit(0))
+    marked = rows.join(starts.withColumn("_first", F.lit(1)), [call, "_at"], "left").withColumn("_first", first)
+    counted = running_offset(marked, F.col("_first"), ordered_bucket(rows, "_at"), [F.col("_at")], "batch", [call])
+    return counted.select(call, key, length, (F.col("batch") + F.col("_first") - 1).alias("batch"))
+
+
 def pack_prompts(df: DataFrame, batch: str, position: str, tokens: str) -> DataFrame:
     """One row per batch: concatenated tokens and the lengths of the parts (batch size bounds the group)."""
     parts = F.array_sort(F.collect_list(F.struct(position, tokens)))

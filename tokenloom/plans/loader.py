@@ -409,6 +409,24 @@ def batch_by_token_budget(spark, sf_dir):
     return bt.batch_by_token_budget(calls, "doc_id", "n_tokens", 8000, "call")
 
 
+@register(
+    "batch_request_by_token_budget",
+    """WITH RECURSIVE l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, strlen(text) + 2 AS n_tokens FROM documents),
+       f AS (SELECT i, doc_id, n_tokens, 0 AS batch, n_tokens AS used FROM l WHERE i = 0
+             UNION ALL
+             SELECT l.i, l.doc_id, l.n_tokens, CASE WHEN f.used + l.n_tokens > 8000 THEN f.batch + 1 ELSE f.batch END,
+                    CASE WHEN f.used + l.n_tokens > 8000 THEN l.n_tokens ELSE f.used + l.n_tokens END
+             FROM f JOIN l ON l.i = f.i + 1)
+       SELECT CAST(0 AS BIGINT) AS call, doc_id, n_tokens, CAST(batch AS BIGINT) AS batch FROM f""",
+)
+def batch_request_by_token_budget(spark, sf_dir):
+    """The whole table as one request."""
+    docs = documents(spark, sf_dir, "doc_id", "text").select(
+        F.lit(0).alias("call"), "doc_id", tk.byte_token_count(F.col("text")).alias("n_tokens")
+    )
+    return bt.batch_requests_of_any_size(docs, "doc_id", "n_tokens", 8000, "call")
+
+
 @register(
     "truncate_keep_tail",
     f"""SELECT doc_id, CAST(len(t) AS INT) AS n_tokens, {sql_checksum('t')} AS check_sum FROM (

@@ -147,9 +147,78 @@ def test_expected_counts_over_all_segmentations():
 
 def test_unigram_keeps_characters_and_size(spark):
     df = spark.createDataFrame([("hugging", 5), ("hug", 9), ("bug", 4)], "word string, cnt long")
-    vocab = {r["piece"]: r["score"] for r in unigram.train_unigram(df, 10, 50, rounds=2).collect()}
+    vocab = {r["piece"]: r["score"] for r in unigram.train_unigram(df, 10, 50).collect()}
     assert len(vocab) == 10 and set("huginb") <= set(vocab)
     assert sum(math.exp(s) for s in vocab.values()) == pytest.approx(1.0)
+    assert unigram.train_unigram(df.limit(0), 10).count() == 0
+
+
+def segmentations(word):
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        at = [0, *[i for i, c in enumerate(cuts, 1) if c], len(word)]
+        yield [word[a:b] for a, b in zip(at, at[1:])]
+
+
+def plain_seeds(counts, n_seeds, longest):
+    found = Counter()
+    for w, c in counts.items():
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + longest) + 1):
+                found[w[i:j]] += c
+    after = Counter()
+    for p, c in found.items():
+        if c >= 2:
+            after[p[:-1]] = max(after[p[:-1]], c)
+    longer = [p for p, c in found.items() if len(p) > 1 and c >= 2 and after[p] < c]
+    longer.sort(key=lambda p: (-found[p] * len(p), p))
+    return {p: found[p] for p in [*longer[:n_seeds], *[p for p in found if len(p) == 1]]}
+
+
+def plain_unigram(counts, size, n_seeds, rounds, keep, longest):
+    """The same training by listing every segmentation of every word and piece."""
+    def logs(shares):
+        return {p: math.log(c / sum(shares.values())) for p, c in shares.items()}
+
+    scores = logs(plain_seeds(counts, n_seeds, longest))
+    while True:
+        for _ in range(rounds):
+            use = Counter()
+            for w, c in counts.items():
+                fits = [(s, math.exp(sum(scores[p] for p in s))) for s in segmentations(w) if all(p in scores for p in s)]
+                for s, share in fits:
+                    for p in s:
+                        use[p] += c * share / sum(x for _, x in fits)
+            scores = logs({p: max(use[p], 1e-3) for p in scores})
+        longer = [p for p in scores if len(p) > 1]
+        room = max(size - (len(scores) - len(longer)), 0)
+        if len(longer) <= room:
+            return scores
+        loss = {}
+        for p in longer:
+            others = [sum(scores[x] for x in s) for s in segmentations(p) if len(s) > 1 and all(x in scores for x in s)]
+            loss[p] = use[p] * (scores[p] - max(others))
+        longer.sort(key=lambda p: (-loss[p], p))
+        kept = longer[: max(room, min(int(len(longer) * keep), len(longer) - 1))]
+        scores = logs({p: max(use[p], 1e-3) for p in scores if len(p) == 1 or p in kept})
+
+
+@pytest.mark.parametrize("seed,n_seeds,longest", [(1, 1000, 16), (2, 12, 4)])
+def test_unigram_equals_training_over_all_segmentations(spark, seed, n_seeds, longest):
+    rng = random.Random(seed)
+    parts = ["low", "new", "est", "er", "wid", "é", "😀"]
+    counts = {"".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))): rng.randrange(1, 30) for _ in range(25)}
+    df = spark.createDataFrame([*counts.items(), ("", 3), (None, 2)], "word string, cnt long")
+    want = plain_unigram(counts, 24, n_seeds, 2, 0.75, longest)
+    got = {r["piece"]: r["score"] for r in unigram.train_unigram(df, 24, n_seeds, longest=longest).collect()}
+    assert set(got) == set(want)
+    assert all(got[p] == pytest.approx(want[p], abs=1e-9) for p in want)
+
+
+def test_unigram_seeds_of_a_word_longer_than_a_block(spark):
+    rng = random.Random(3)
+    counts = {"".join(rng.choice("ab") for _ in range(700)): 2}
+    df = spark.createDataFrame(list(counts.items()), "word string, cnt long")
+    assert {r[0]: r[1] for r in unigram.seed_pieces(df, 10**6, 16).collect()} == plain_seeds(counts, 10**6, 16)
 
 
 def test_slots(spark):

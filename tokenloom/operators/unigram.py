@@ -9,35 +9,49 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.session import written
+
 NEG_INF = float("-inf")
 
 
-def seed_pieces(words: DataFrame, n_seeds: int, longest: int = 8, min_count: int = 2) -> DataFrame:
-    """Candidate pieces of ``words(word, cnt)``: all characters, and the substrings
-    of two or more characters with the largest count * length."""
+BLOCK = 256  # characters; long words are cut into overlapping blocks before their suffixes are listed
+
+
+def seed_pieces(words: DataFrame, n_seeds: int, longest: int, min_count: int = 2) -> DataFrame:
+    """Candidate pieces of ``words(word, cnt)``: all characters, and the ``n_seeds`` repeated
+    substrings of 2 to ``longest`` characters with the largest count * length.
+
+    A substring that is always followed by the same character is left out for the longer one: the
+    rest are the inner nodes of the suffix tree of all words.  Equal suffixes (up to ``longest``
+    characters) are added up before their beginnings are listed.
+    """
     n = F.length("word")
-    starts = F.sequence(F.lit(1), n)
-    pieces = F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), n - i + 1)), lambda k: F.substring("word", i, k)
-            ),
-        )
+    blocks = words.filter(n > 0).select(
+        "cnt", "word", F.explode(F.sequence(F.lit(1), n, F.lit(BLOCK))).alias("at"), n.alias("n")
     )
+    blocks = blocks.select(
+        "cnt",
+        F.expr(f"substring(word, at, {BLOCK + longest - 1})").alias("block"),
+        F.least(F.lit(BLOCK), F.col("n") - F.col("at") + 1).alias("starts"),
+    )
+    suffixes = blocks.select("cnt", "block", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("i")).select(
+        "cnt", F.expr(f"substring(block, i, {longest})").alias("suffix")
+    )
+    suffixes = suffixes.groupBy("suffix").agg(F.sum("cnt").alias("cnt"))
+    lengths = F.sequence(F.lit(1), F.length("suffix"))
     counts = (
-        words.filter(n > 0)
-        .select(F.explode(pieces).alias("piece"), "cnt")
+        suffixes.select("cnt", F.explode(F.transform(lengths, lambda k: F.substring("suffix", F.lit(1), k))).alias("piece"))
         .groupBy("piece")
-        .agg(F.sum("cnt").cast("double").alias("cnt"))
+        .agg(F.sum("cnt").alias("cnt"))
+        .filter((F.col("cnt") >= min_count) | (F.length("piece") == 1))
     )
+    counts = written(counts, "unigram-counts")
+    longer = counts.filter(F.length("piece") > 1)
+    followed = longer.groupBy(F.expr("left(piece, length(piece) - 1)").alias("piece")).agg(F.max("cnt").alias("next"))
+    nodes = longer.join(followed, "piece", "left").filter(F.col("next").isNull() | (F.col("next") < F.col("cnt")))
+    nodes = nodes.orderBy(F.desc(F.col("cnt") * F.length("piece")), "piece").limit(n_seeds)
     single = counts.filter(F.length("piece") == 1)
-    longer = (
-        counts.filter((F.length("piece") > 1) & (F.col("cnt") >= min_count))
-        .orderBy(F.desc(F.col("cnt") * F.length("piece")), "piece")
-        .limit(n_seeds)
-    )
-    return single.unionByName(longer)
+    return single.unionByName(nodes.select("piece", "cnt")).select("piece", F.col("cnt").cast("double"))
 
 
 def expected_counts(word: str, scores: dict[str, float], longest: int) -> list[tuple[str, float]]:
@@ -89,31 +103,63 @@ def expectation(words: DataFrame, scores: dict[str, float]) -> DataFrame:
     return parts.groupBy("piece").agg(F.sum("expected").alias("expected"))
 
 
+def best_other(piece: str, scores: dict[str, float], longest: int) -> float:
+    """Score of the most likely segmentation of a piece into other pieces."""
+    n = len(piece)
+    best = [0.0] + [NEG_INF] * n
+    for j in range(1, n + 1):
+        for i in range(max(0, j - longest), j):
+            if j - i < n and best[i] > NEG_INF:
+                s = scores.get(piece[i:j])
+                if s is not None and best[i] + s > best[j]:
+                    best[j] = best[i] + s
+    return best[n]
+
+
+def likelihood_losses(pieces: DataFrame, scores: dict[str, float]) -> DataFrame:
+    """``piece, loss`` of ``pieces(piece, use)``: what the log likelihood of the words loses if the
+    piece goes and each of its uses becomes its most likely segmentation into the others."""
+    model = pieces.sparkSession.sparkContext.broadcast(scores)  # at most seeds + characters
+    longest = max(map(len, scores))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = model.value
+        for pdf in batches:
+            loss = [u * (table[p] - best_other(p, table, longest)) for p, u in zip(pdf["piece"], pdf["use"])]
+            yield pd.DataFrame({"piece": pdf["piece"], "loss": loss})
+
+    return pieces.mapInPandas(run, "piece string, loss double")
+
+
 def train_unigram(
     words: DataFrame,
     vocab_size: int,
-    n_seeds: int,
-    rounds: int = 1,
+    n_seeds: int = 1_000_000,
+    rounds: int = 2,
     keep: float = 0.75,
-    longest: int = 8,
+    longest: int = 16,
     min_count: int = 2,
 ) -> DataFrame:
     """Pieces with log probabilities, pruned step by step until at most ``vocab_size`` are left.
 
-    Parameters of the method: ``longest`` characters of a piece; ``n_seeds`` candidates of two or more
-    characters, seen ``min_count`` times or more; ``rounds`` re-estimations before each pruning and after the
-    last one; ``keep``, the share of the longer pieces that a pruning leaves.  Characters always stay, so every
-    word keeps a segmentation (and a vocabulary has at least one piece per character).
+    Each step re-estimates ``rounds`` times over all words, then keeps the share ``keep`` of the pieces of two
+    or more characters whose loss would cost the most likelihood.  Parameters of the method: ``longest``
+    characters of a piece and ``n_seeds`` candidates seen ``min_count`` times or more (they bound the table that
+    goes to the tasks).  Characters always stay, so every word keeps a segmentation (and a vocabulary has at
+    least one piece per character).  Null and empty words count for nothing; no words give no pieces.
     """
+    spark = words.sparkSession
+    words = words.filter(F.length("word") > 0)
     seeds = seed_pieces(words, n_seeds, longest, min_count)
     table = {r[0]: r[1] for r in seeds.collect()}  # bounded: characters + n_seeds
+    if not table:
+        return spark.createDataFrame([], "piece string, score double")
     total = sum(table.values())
     scores = {p: math.log(c / total) for p, c in table.items()}
-    chars = [p for p in scores if len(p) == 1]
-    room = max(vocab_size - len(chars), 0)
+    room = max(vocab_size - sum(len(p) == 1 for p in scores), 0)
 
     def estimated(kept: list[str], use: dict[str, float]) -> dict[str, float]:
-        shares = {p: max(use.get(p, 0.0), 1e-3) for p in [*chars, *kept]}
+        shares = {p: max(use.get(p, 0.0), 1e-3) for p in kept}
         total = sum(shares.values())
         return {p: math.log(c / total) for p, c in shares.items()}
 
@@ -121,10 +167,14 @@ def train_unigram(
         use: dict[str, float] = {}
         for _ in range(rounds):
             use = {r[0]: r[1] for r in expectation(words, scores).collect()}
-            scores = estimated([p for p in scores if len(p) > 1], use)
-        longer = sorted((p for p in scores if len(p) > 1), key=lambda p: (-use.get(p, 0.0), p))
+            scores = estimated(list(scores), use)
+        longer = [p for p in scores if len(p) > 1]
         if len(longer) <= room:
             break
-        scores = estimated(longer[: max(room, min(int(len(longer) * keep), len(longer) - 1))], use)
+        used = spark.createDataFrame(pd.DataFrame({"piece": longer, "use": [use.get(p, 0.0) for p in longer]}))
+        losses = {r[0]: r[1] for r in likelihood_losses(used, scores).collect()}
+        longer.sort(key=lambda p: (-losses[p], p))
+        left = longer[: max(room, min(int(len(longer) * keep), len(longer) - 1))]
+        scores = estimated([p for p in scores if len(p) == 1] + left, use)
     rows = [(p, float(s)) for p, s in sorted(scores.items(), key=lambda x: (-x[1], x[0]))]
-    return words.sparkSession.createDataFrame(rows, "piece string, score double")
+    return spark.createDataFrame(rows, "piece string, score double")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.tokens import byte_tokens
 from tokenloom.operators.bpe import Merge, encode_text
+from tokenloom.operators.rank_files import rank_ids, read_ranks, special_ids
 
 Encoder = Callable[[Column], Column]
 _BUILDERS: dict[str, Callable[..., Encoder]] = {}
@@ -44,6 +45,23 @@ def _bpe(spark: SparkSession, merges: Sequence[Merge] = (), bos: int | None = No
     return encode
 
 
+def _ranks(spark: SparkSession, path: str = "", add_bos: bool = True, add_eos: bool = True) -> Encoder:
+    """The tokenizer of a rank file, with the text's begin and end tokens."""
+    ranks = read_ranks(path)
+    specials = special_ids(len(ranks))
+
+    def encode(text: Column) -> Column:
+        parts = [rank_ids(spark, text, ranks)]
+        if add_bos:
+            parts.insert(0, F.array(F.lit(specials["<|begin_of_text|>"])))
+        if add_eos:
+            parts.append(F.array(F.lit(specials["<|end_of_text|>"])))
+        return F.concat(*parts)
+
+    return encode
+
+
 register_tokenizer("bytes", _bytes)
 register_tokenizer("mock", _mock)
 register_tokenizer("bpe", _bpe)
+register_tokenizer("ranks", _ranks)

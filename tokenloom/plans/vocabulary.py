@@ -13,6 +13,7 @@ from tokenloom.operators import batching as bt
 from tokenloom.operators import bpe
 from tokenloom.operators import unigram
 from tokenloom.operators import vocab as vb
+from tokenloom.operators.rank_files import rank_tokens, read_ranks
 from tokenloom.operators.registry import build_tokenizer
 from tokenloom.operators.ordering import spread
 from tokenloom.plans.catalog import register, sql_checksum, table
@@ -298,6 +299,27 @@ def bpe_detokenize(spark, sf_dir):
     return rows.select("doc_id", bpe.decode_ids(spark, F.col("ids"), merges).alias("text"))
 
 
+def rank_file() -> str:
+    """Path of a public vocabulary as a rank file; the operators take any other."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("rank_file_encode")
+def rank_file_encode(spark, sf_dir):
+    encode = build_tokenizer("ranks", spark, path=rank_file())
+    rows = heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", encode(F.col("text")).alias("ids"))
+    return _summary(rows)
+
+
+@register("rank_file_offsets")
+def rank_file_offsets(spark, sf_dir):
+    """Every token of every document with its start and the text it covers."""
+    tokens = rank_tokens(spark, F.col("text"), read_ranks(rank_file()))
+    return heavy_documents(spark, sf_dir, "doc_id", "text").select("doc_id", tokens.alias("t")).select("doc_id", "t.*")
+
+
 @register(
     "encode_show_work",
     f"""WITH RECURSIVE {_BYTE_TRAINING},

@@ -72,6 +72,32 @@ def test_exact_quantiles(spark, shape):
         assert got[q] == pytest.approx(np.quantile(x, q), abs=1e-12)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_exact_quantiles_of_many_scales(spark, rounds):
+    rng = np.random.default_rng(4)
+    columns = {
+        "wide": np.exp(rng.normal(size=3000) * 40) * rng.choice([-1, 1], size=3000),
+        "one": np.array([7.5]),
+        "same": np.full(500, -0.25),
+        "whole": rng.integers(-5, 5, size=2000).astype(float),
+    }
+    rows = [(n, float(v)) for n, x in columns.items() for v in x] + [("wide", None), ("none", None)]
+    df = spark.createDataFrame(rows, "name string, x double").repartition(5)
+    shares = [0.0, 0.001, 0.3, 0.5, 0.9999, 1.0]
+    got = {(r["name"], r["q"]): r["value"] for r in pf.exact_quantiles(df, "name", "x", shares, rounds).collect()}
+    assert set(got) == {(n, q) for n in columns for q in shares}
+    for n, x in columns.items():
+        for q in shares:
+            assert got[n, q] == pytest.approx(np.quantile(x, q), rel=1e-12)
+
+
+def test_exact_quantiles_next_to_infinities(spark):
+    x = [float("-inf"), *range(100), float("inf"), float("inf")]
+    df = spark.createDataFrame([("x", float(v)) for v in x], "name string, x double")
+    got = {r["q"]: r["value"] for r in pf.exact_quantiles(df, "name", "x", [0.1, 0.5, 0.9]).collect()}
+    assert got == {q: pytest.approx(np.quantile(x, q)) for q in (0.1, 0.5, 0.9)}
+
+
 def test_moments_follow_the_sample_deviation(spark):
     x = np.random.default_rng(0).gamma(2.0, size=300)
     df = spark.createDataFrame([("x", float(v)) for v in x], "name string, x double")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import ordered_bucket
+from tokenloom.session import written
 
 # The quantiles of a profile.
 QUANTILES = (
@@ -18,37 +20,79 @@ QUANTILES = (
 )
 
 
-def exact_quantiles(df: DataFrame, name: str, value: str, shares: Sequence[float] = QUANTILES) -> DataFrame:
+SEGMENTS = 16
+FINE = 1024
+
+
+def _cell(value: Column, borders: Column) -> Column:
+    """Cell number that never decreases with the value: segments between borders, each of ``FINE`` cells of even width.
+
+    A segment that reaches to an infinity is one cell; numbers that are no numbers lie in the last.
+    """
+
+    # one comparison for each border, which compiles; a lambda over the array would not
+    passed = [F.when(F.get(borders, F.lit(i)) < value, 1).otherwise(0) for i in range(SEGMENTS + 1)]
+    segment = reduce(operator.add, passed)
+    low, high = F.get(borders, segment - 1), F.get(borders, segment)
+    inside = F.floor((value - low) * FINE / (high - low))
+    # never null: otherwise a join on the cell would evaluate it once more to test it
+    return segment * FINE + F.coalesce(F.greatest(F.least(inside, F.lit(FINE - 1)), F.lit(0)), F.lit(0))
+
+
+def _narrowed(rows: DataFrame, spans: DataFrame, name: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """The rows and spans of the cells that hold a wanted rank, after cutting every span into cells.
+
+    Sketches place the borders, counts by cell are exact; no value is exchanged.
+    """
+    shares = ", ".join(str(i / SEGMENTS) for i in range(SEGMENTS + 1))
+    borders = rows.groupBy(name, "_span").agg(
+        F.array_sort(F.array_distinct(F.expr(f"percentile_approx(`{value}`, array({shares}), 10000)"))).alias("_borders")
+    )
+    celled = rows.join(written(borders, "quantile-borders"), [name, "_span"]).select(
+        name, "_span", value, _cell(F.col(value).cast("double"), F.col("_borders").cast("array<double>")).alias("_cell")
+    )
+    totals = celled.groupBy(name, "_span", "_cell").agg(F.count(F.lit(1)).alias("_total"))
+    before = Window.partitionBy(name, "_span").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.join(spans, [name, "_span"]).withColumn(
+        "_start", F.col("_start") + F.coalesce(F.sum("_total").over(before), F.lit(0))
+    )
+    first, stop = F.col("_start").cast("double"), (F.col("_start") + F.col("_total")).cast("double")
+    # rank q * last lies between two rows; the cell is needed when it holds one of them
+    held = F.filter("_targets", lambda q: (q * F.col("_last") > first - 1) & (q * F.col("_last") < stop))
+    inner = F.col("_span") * (SEGMENTS + 2) * FINE + F.col("_cell")
+    needed = placed.select(name, "_span", "_cell", inner.alias("_inner"), "_start", "_last", held.alias("_targets"))
+    needed = written(needed.filter(F.size("_targets") > 0), "quantile-spans")
+    kept = celled.join(needed.select(name, "_span", "_cell", "_inner"), [name, "_span", "_cell"])
+    return (
+        kept.select(name, value, F.col("_inner").alias("_span")),
+        needed.select(name, F.col("_inner").alias("_span"), "_start", "_last", "_targets"),
+    )
+
+
+def exact_quantiles(
+    df: DataFrame, name: str, value: str, shares: Sequence[float] = QUANTILES, rounds: int = 1
+) -> DataFrame:
     """Interpolated quantiles ``(name, q, value)`` over all values of each name.
 
-    Equal values are counted first.  The running sum over the bucket totals shows
-    which buckets hold a wanted rank; only the values of those few buckets are
-    then put in order.  No task sees a whole column, and most values are never sorted.
+    Each round cuts the values of a name that still matter into some 16,000 cells and keeps the cells that hold
+    a wanted rank, at most two for each quantile.  Only what is left after ``rounds`` rounds is exchanged,
+    equal values as one row, and put in order.  No task sees a whole column.  Null values count for nothing.
     """
-    counts = df.groupBy(name, value).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_bucket", ordered_bucket(df, value))
-    totals = counts.groupBy(name, "_bucket").agg(F.sum("_n").alias("_total"))
-    # at most FINE_BUCKETS rows per name from here on
-    order = Window.partitionBy(name).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.select(
+    rows = df.select(name, value, F.lit(0).cast("bigint").alias("_span")).filter(F.col(value).isNotNull())
+    sizes = rows.groupBy(name, "_span").agg(F.count(F.lit(1)).alias("_size"))
+    spans = sizes.select(
         name,
-        "_bucket",
-        "_total",
-        F.coalesce(F.sum("_total").over(order), F.lit(0)).alias("_start"),
-        F.sum("_total").over(Window.partitionBy(name)).alias("_size"),
+        "_span",
+        F.lit(0).cast("bigint").alias("_start"),
+        (F.col("_size") - 1).cast("double").alias("_last"),
+        F.lit(np.array([float(q) for q in shares])).alias("_targets"),
     )
-    last = (F.col("_size") - 1).cast("double")
-    first, stop = F.col("_start").cast("double"), (F.col("_start") + F.col("_total")).cast("double")
-    wanted = F.lit(np.array([float(q) for q in shares]))
-    # rank q * last lies between two rows; the bucket is needed when it holds one of them
-    held = F.filter(wanted, lambda q: (q * last > first - 1) & (q * last < stop))
-    needed = placed.select(name, "_bucket", "_start", last.alias("_last"), held.alias("_targets"))
-    needed = needed.filter(F.size("_targets") > 0)
-
-    # at most two buckets per quantile and name
-    rows = counts.join(needed, [name, "_bucket"])
-    inside = Window.partitionBy(name, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = rows.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    for _ in range(rounds):
+        rows, spans = _narrowed(rows, spans, name, value)
+
+    counts = rows.groupBy(name, "_span", value).agg(F.count(F.lit(1)).alias("_n")).join(spans, [name, "_span"])
+    inside = Window.partitionBy(name, "_span").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     hits = ranked.select(name, F.col(value).alias("_x"), "_from", "_n", "_last", F.explode("_targets").alias("q"))
     hits = hits.withColumn("_at", F.col("q") * F.col("_last"))
 

@@ -221,6 +221,17 @@ def test_unigram_seeds_of_a_word_longer_than_a_block(spark):
     assert {r[0]: r[1] for r in unigram.seed_pieces(df, 10**6, 16).collect()} == plain_seeds(counts, 10**6, 16)
 
 
+def test_counts_of_characters_and_bytes(spark, monkeypatch):
+    monkeypatch.setattr(vb, "RUN_BYTES", 7)
+    rows = ["", None, "a", "é😀 a\n", "x" * 50, "", "日本", None, "a b c d e f g h"]
+    df = spark.createDataFrame([(t,) for t in rows], "text string").coalesce(1)
+    every = "".join(t or "" for t in rows)
+    assert {r["ch"]: r["cnt"] for r in vb.char_counts(df, F.col("text")).collect()} == Counter(every)
+    assert {r["byte"]: r["cnt"] for r in vb.byte_counts(df, F.col("text")).collect()} == Counter(every.encode())
+    assert vb.char_counts(df.limit(0), F.col("text")).count() == 0
+    assert vb.byte_counts(df.filter("text IS NULL"), F.col("text")).count() == 0
+
+
 def test_slots(spark):
     vocab = spark.createDataFrame([(f"<unused{i}>", i) for i in range(4)] + [("a", 4)], "piece string, id int")
     got = {r["id"]: r["piece"] for r in vb.assign_special_slots(vocab, ["<x>", "<y>"]).collect()}

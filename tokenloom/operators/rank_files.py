@@ -20,19 +20,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import RANK_PATTERN
 from tokenloom.functions.tokens import split_long_text
+from tokenloom.operators.vocab import RANK_SPECIALS
 
-# The named special tokens of a rank file by their place after the ranks; the other
-# places below SPECIAL_PLACES are reserved.
-SPECIAL_PLACES = 256
-NAMED_SPECIALS = {
-    "<|begin_of_text|>": 0,
-    "<|end_of_text|>": 1,
-    "<|fim_prefix|>": 2,
-    "<|fim_middle|>": 3,
-    "<|fim_end_fill|>": 253,
-    "<|fim_pad|>": 254,
-    "<|fim_suffix|>": 255,
-}
+SPECIAL_PLACES = 256  # ids that follow the ranks; those without a named special token are reserved
 MAX_FILE_BYTES = 64 << 20  # a rank file goes to every task
 REMEMBERED_BYTES = 64  # longer words are merged anew each time
 TOKEN_TYPE = "ids array<int>, starts array<int>, pieces array<string>"
@@ -51,9 +41,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def special_ids(n_ranks: int) -> dict[str, int]:
     """Special tokens and their ids, which follow the ranks."""
-    free = set(range(SPECIAL_PLACES)) - set(NAMED_SPECIALS.values())
+    free = set(range(SPECIAL_PLACES)) - set(RANK_SPECIALS.values())
     reserved = {f"<|reserved_special_token_{i}|>": i for i in sorted(free)}
-    return {name: n_ranks + place for name, place in (NAMED_SPECIALS | reserved).items()}
+    return {name: n_ranks + place for name, place in (RANK_SPECIALS | reserved).items()}
 
 
 def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[bytes]:

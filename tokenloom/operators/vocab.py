@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import SPACE_MARK, characters
+from tokenloom.functions.text import SPACE_MARK
 
 # Special tokens with their ids below 256.
 RANK_SPECIALS = {
@@ -66,8 +68,55 @@ def word_counts(df: DataFrame, words: Column) -> DataFrame:
     return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+RUN_BYTES = 1 << 20
+CODE_POINTS = 0x110000
+
+
+def _text_runs(column: pa.Array) -> Iterator[np.ndarray]:
+    """The UTF-8 bytes of an Arrow column of texts, in runs of whole texts of about ``RUN_BYTES``."""
+    texts = column.cast(pa.large_string())
+    if not len(texts) or texts.buffers()[2] is None:
+        return
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)
+    at = ends[0]
+    while at < ends[-1]:
+        # at least one text that is not empty
+        last = max(np.searchsorted(ends, at + RUN_BYTES, side="right") - 1, np.searchsorted(ends, at, side="right"))
+        yield data[at : ends[last]]
+        at = ends[last]
+
+
+def byte_counts(df: DataFrame, text: Column) -> DataFrame:
+    """``byte, cnt``: how often each byte value occurs in the UTF-8 texts; a task exchanges at most 256 rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256, np.int64)
+        for batch in batches:
+            for run in _text_runs(batch.column(0)):
+                total += np.bincount(run, minlength=256)
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"byte": pa.array(found.astype(np.int32)), "cnt": pa.array(total[found])})
+
+    parts = df.select(text.alias("text")).mapInArrow(count, "byte int, cnt bigint")
+    return parts.groupBy("byte").agg(F.sum("cnt").alias("cnt"))
+
+
 def char_counts(df: DataFrame, text: Column) -> DataFrame:
-    return df.select(F.explode(characters(text)).alias("ch")).groupBy("ch").agg(F.count(F.lit(1)).alias("cnt"))
+    """``ch, cnt``: how often each code point occurs; a task exchanges one row for each that it has seen."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CODE_POINTS, np.int64)
+        for batch in batches:
+            for run in _text_runs(batch.column(0)):
+                codes = np.frombuffer(run.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+                seen = np.bincount(codes)
+                total[: len(seen)] += seen
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"ch": pa.array([chr(c) for c in found], pa.string()), "cnt": pa.array(total[found])})
+
+    parts = df.select(text.alias("text")).mapInArrow(count, "ch string, cnt bigint")
+    return parts.groupBy("ch").agg(F.sum("cnt").alias("cnt"))
 
 
 def coverage_alphabet(counts: DataFrame, coverage: float) -> DataFrame:

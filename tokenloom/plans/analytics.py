@@ -14,6 +14,7 @@ from tokenloom.operators import evaluation as ev
 from tokenloom.operators import profiling as pf
 from tokenloom.operators import runs as rn
 from tokenloom.operators import sampling as sp
+from tokenloom.operators import vocab as vb
 from tokenloom.plans.catalog import register, sql_bytes, sql_uniform, table
 from tokenloom.plans.corpus import SEED, documents, heavy_documents, metric_rows
 
@@ -51,8 +52,7 @@ GOLD_SQL = f"SELECT vec_id, {V} AS v, CASE WHEN vec_id % 5 = 0 THEN -100 ELSE la
 
 def byte_scores(spark: SparkSession, sf_dir: str) -> tuple[dict[int, float], int]:
     """Log frequency of each byte value, and the most frequent byte (at most 256 rows)."""
-    bytes_ = heavy_documents(spark, sf_dir, "text").select(F.explode(tk.text_bytes(F.col("text"))).alias("b"))
-    counts = bytes_.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    counts = vb.byte_counts(heavy_documents(spark, sf_dir, "text"), F.col("text")).select(F.col("byte").alias("b"), F.col("cnt").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     rows = counts.select("b", "n", F.log(F.col("n") / total).alias("ll")).collect()
     top = min(rows, key=lambda r: (-r["n"], r["b"]))["b"]

@@ -151,9 +151,9 @@ def _sql_byte_char(b: str) -> str:
 )
 def byte_unicode_map(spark, sf_dir):
     """Printable character of every byte the corpus uses, and how often it occurs."""
-    shown = vb.char_counts(texts(spark, sf_dir).select(bc.to_byte_chars(F.col("text")).alias("text")), F.col("text"))
-    place = F.array_position(F.array(*[F.lit(c) for c in bc.byte_chars()]), F.col("ch")) - 1
-    return shown.select(place.cast("int").alias("byte"), F.col("ch").alias("shown"), F.col("cnt").alias("n"))
+    counts = vb.byte_counts(texts(spark, sf_dir), F.col("text"))
+    shown = F.get(F.array(*[F.lit(c) for c in bc.byte_chars()]), F.col("byte"))
+    return counts.select("byte", shown.alias("shown"), F.col("cnt").alias("n"))
 
 
 @register(

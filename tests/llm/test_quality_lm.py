@@ -1,13 +1,14 @@
 """Counts of the quality rules, held-out accuracy, and normalised probabilities of the language model."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 
-from odd_rows import frame, no_docs, no_labels, odd_docs, some_labels, texts
+from odd_rows import frame, no_docs, no_labels, odd_docs, some_labels, texts, words
 from tokenloom.llm import lm, quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,3 +181,12 @@ def test_model_learns_order_on_held_out_texts(spark):
 
 def test_no_rows(spark):
     assert lm.score_texts(no_docs(spark)).count() == 0
+
+
+def test_labels_of_one_class_say_so_for_every_text(spark):
+    rows = [(i, words(random.Random(i), 30), "en", "s", 1) for i in range(60)]
+    for mark in (0, 1):
+        labels = spark.createDataFrame([(i, mark, 0) for i in range(50)], "doc_id bigint, quality int, toxic int")
+        found = quality.judged(frame(spark, rows), labels).collect()
+        assert {r.kept for r in found} == {mark == 1} and len(found) == 60
+        assert all((r.p_quality >= 0.5) == (mark == 1) and r.p_toxic < 0.5 for r in found)

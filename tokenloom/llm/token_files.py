@@ -110,6 +110,20 @@ class Encoder:
         self.at: dict[bytes, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
         self.ends = np.zeros(1, dtype=np.int64)
+        self.met = np.zeros(0, dtype=np.int32)
+
+    def _keep_repeated(self) -> None:
+        """Keep only what was met in two groups or more since the last time: words that come once fill the memory."""
+        kept = np.flatnonzero(self.met > 1)
+        if len(kept) > KNOWN // 2:
+            return self._forget()
+        names, first = list(self.at), self.ends[kept]
+        size = self.ends[kept + 1] - first
+        before = np.cumsum(size) - size
+        self.at = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids = self.ids[np.repeat(first - before, size) + np.arange(size.sum())]
+        self.ends = np.concatenate([[0], np.cumsum(size)])
+        self.met = np.zeros(len(kept), dtype=np.int32)
 
     def _whole(self, texts: Sequence[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
@@ -131,23 +145,25 @@ class Encoder:
         self.at.update(zip(chain + alone, range(known, known + len(segments)), strict=True))
         self.ids = np.concatenate([self.ids, ids, *parts])
         self.ends = np.concatenate([self.ends, self.ends[-1] + cuts])
+        self.met = np.concatenate([self.met, np.zeros(len(segments), np.int32)])
 
     def _segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of segments on end, and how many each has."""
         new = set(segments).difference(self.at)
         if len(self.at) + len(new) > KNOWN:
-            self._forget()
-            new = set(segments)
+            self._keep_repeated()
+            new = set(segments).difference(self.at)
         held, n_ids = len(self.at), len(self.ids)
         self._learn(list(new))
         index = np.fromiter(map(self.at.__getitem__, segments), np.int64, len(segments))
+        self.met[index] += 1
         first, size = self.ends[index], self.ends[index + 1] - self.ends[index]
         before = np.cumsum(size) - size
         ids = self.ids[np.repeat(first - before, size) + np.arange(size.sum())]
         if sum(map(len, new)) > LONG_BYTES:  # texts without spaces are not worth keeping
             for s in new:
                 del self.at[s]
-            self.ids, self.ends = self.ids[:n_ids], self.ends[: held + 1]
+            self.ids, self.ends, self.met = self.ids[:n_ids], self.ends[: held + 1], self.met[:held]
         return ids, size
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:

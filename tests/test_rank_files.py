@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,14 @@ def test_registered_tokenizer(spark, ranks, library):
         assert r["ids"] == [i for a in range(0, len(t), 7) for i in library.encode_ordinary(t[a : a + 7])]
 
 
+def test_batches_are_worked_on_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(rf, "RUN_WORDS", 10)
+    rows = [["a"] * n for n in (3, 7, 1, 0, 25, 0, 2)] + [None, ["b"] * 9]
+    runs = list(rf.row_runs(iter([pa.array(rows, pa.list_(pa.string())), pa.array([], pa.list_(pa.string())), pa.array([["c"]])])))
+    assert [r for run in runs for r in run] == [*(r or [] for r in rows), ["c"]]
+    assert all(len(run) == 1 or sum(map(len, run)) <= 10 for run in runs) and len(runs) < 7
+
+
 def test_no_rank_file(tmp_path):
     with pytest.raises(ValueError):
         rf.read_ranks(str(tmp_path / "none"))

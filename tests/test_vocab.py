@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +215,33 @@ def test_unigram_equals_training_over_all_segmentations(spark, seed, n_seeds, lo
     assert all(got[p] == pytest.approx(want[p], abs=1e-9) for p in want)
 
 
+def test_unigram_training_is_dealt_to_all_tasks(spark, monkeypatch):
+    dealt = {}
+
+    def noted(df, name):
+        dealt[name] = df.rdd.getNumPartitions()
+        return df
+
+    monkeypatch.setattr(unigram, "written", noted)
+    df = spark.createDataFrame([("hugging", 5), ("hug", 9), ("bug", 4)], "word string, cnt long").coalesce(1)
+    unigram.train_unigram(df, 10, 50)
+    assert dealt["unigram-words"] == dealt["unigram-seeds"] == spark.sparkContext.defaultParallelism > 1
+
+
+def test_pieces_are_found_where_hashes_share_their_leading_bits():
+    rng = random.Random(4)
+    pieces = sorted({"".join(rng.choice("abc😀") for _ in range(rng.randrange(1, 7))) for _ in range(900)})
+    index = unigram.PieceIndex.of(pieces)
+    index.bits, index.first = 2, np.append(np.searchsorted(index.keys >> np.uint64(62), np.arange(4)), len(pieces)).astype(np.int32)
+    words = ["".join(rng.choice("abcd😀") for _ in range(rng.randrange(12))) for _ in range(50)]
+    for some, grid in unigram._grids(words, index.longest):
+        found = index.lattice(grid)
+        for w, word in enumerate(words[i] for i in some):
+            for j in range(1, len(word) + 1):
+                want = [word[j - k : j] if k <= j and word[j - k : j] in pieces else None for k in range(1, found.shape[1] + 1)]
+                assert [pieces[i] if i >= 0 else None for i in found[j, :, w].tolist()] == want
+
+
 def test_unigram_seeds_of_a_word_longer_than_a_block(spark):
     rng = random.Random(3)
     counts = {"".join(rng.choice("ab") for _ in range(700)): 2}

@@ -56,5 +56,56 @@ def test_stage_equals_all_pairs(spark, monkeypatch, often, sample, block):
     assert 30 < len(wanted) < len(rows) - 20
 
 
+def staged_rows(monkeypatch):
+    """Rows of every table that the stage writes, by name."""
+    counts, write = Counter(), near_dedup.staged
+
+    def counted(df, name):
+        out = write(df, name)
+        counts[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    return counts
+
+
+def kept(spark, rows):
+    return Counter(r.doc_id for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), "").collect() if r.doc_id is not None)
+
+
+def test_unlike_texts_of_one_passage_make_no_pairs(spark, monkeypatch):
+    counts = staged_rows(monkeypatch)
+    rng = random.Random(4)
+    common = words(rng, 90)
+    rows = [(i, f"{words(rng, 34, 900)} {common}", "", "", 1) for i in range(80)]
+    wanted = plain_kept(rows)
+    assert kept(spark, rows) == wanted and len(wanted) > 70
+    assert counts["near-rest"] < 80
+
+
+def test_rounds_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "ROUND_PAIRS", 2)
+    monkeypatch.setattr(near_dedup, "MET_BLOCK", 4)
+    rng, rows = random.Random(6), []
+    base = words(rng, 200, 900).split()
+    for i in range(24):
+        now = list(base)
+        for at in range(0, 8 * (i % 6), 8):
+            now[at] = f"x{i % 6}"
+        rows.append((i, " ".join([*now, f"end{i}"]), "", "", 1))
+    assert kept(spark, rows) == plain_kept(rows)
+
+
+def test_fingerprints_bring_pairs(spark, monkeypatch):
+    counts = staged_rows(monkeypatch)
+    rng = random.Random(9)
+    base = words(rng, 400, 900)
+    rows = [(1, base, "", "", 1), (2, f"{base} end", "", "", 1), (3, words(rng, 50), "", "", 1)]
+    assert kept(spark, rows) == Counter([1, 3])
+    assert counts["near-points"] in (2, 3) and counts["near-first"] == 1
+    prints = near_dedup.set_prints(frame(spark, rows))
+    assert near_dedup.simhash_pairs(prints).count() == 1
+
+
 def test_no_rows(spark):
     assert near_dedup.keep_one(no_docs(spark)).count() == 0

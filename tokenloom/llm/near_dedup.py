@@ -5,11 +5,12 @@ they share at least ``ceil(0.8 n)`` of the ``n`` shingles of either, so under an
 first ``n - ceil(0.8 n) + 1`` of both have one in common: texts that meet at none are not linked, and no link
 is lost.  The order puts the shingles that a sample of the texts holds often last; it decides the work alone.
 
-Texts of equal sets are one row from the start.  The rows of a shingle first meet one of them; pairs that this
-puts in one component need no more comparison, the others all meet, block by block.  Pairs are counted, not
-listed with their sets: the place of a shingle in both orders bounds what two texts can share, and so does the
-number of first shingles that they share.  Sets travel only for pairs that pass both bounds and a bound by
-small bitmaps of the sets.
+Texts of equal sets are one row from the start.  First, SimHash fingerprints of the sets that are at most three
+bits apart are paired by the anchors of ``simhash``, and the rows of a shingle meet one of them; what the sets
+themselves confirm joins components.  Then all rows of a shingle that are in different components meet, block by
+block, inside a task: the place of a shingle in both orders bounds what two texts can share, and so do small
+bitmaps of the sets.  Sets travel only for pairs that pass all bounds.  A round hands out a bounded number of
+pairs of each component in a group; rounds go on, with joined components and a larger number, until none is held back.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from tokenloom.llm.batches import BASE, Chunk, SpanHash, ascii_lower, find_words, gram_hashes, mixed, signed, text_chunks
 from tokenloom.llm.bitmaps import key_bitmap, may_hold
 from tokenloom.llm.components import components
+from tokenloom.llm.simhash import majority_bits
+from tokenloom.llm.simhash import near_links as fingerprint_links
 from tokenloom.llm.storage import staged
 
 SHINGLE = 5
@@ -34,6 +37,8 @@ OFTEN = 8
 LISTED = 1 << 17
 MET_BLOCK = 1024
 PARITY_BITS = 2048
+ROUND_PAIRS = 8
+ROUND_GROWTH = 64
 
 
 def shingle_sets(chunk: Chunk) -> list[np.ndarray]:
@@ -58,17 +63,38 @@ def set_print(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), 42)
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Bitmap of a set: of each bit, whether an odd number of shingles falls on it."""
+    counts = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def set_prints(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, fp``: a hash of the shingle set of every row; null text counts as empty."""
+    """``doc_id, text_hash, fp, n, simhash, bits``: of the shingle set of every row a hash, the size, the SimHash
+    fingerprint and the parity bitmap; null text counts as empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [set_print(s) for c in text_chunks(batch.column("text")) for s in shingle_sets(c)]
-            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(signed(np.array(values, np.uint64)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fp"])
+            for c in text_chunks(batch.column("text")):
+                sets = shingle_sets(c)
+                columns = [batch.column(name).slice(c.first, c.rows) for name in ("doc_id", "text_hash")]
+                columns.append(pa.array(signed(np.array([set_print(s) for s in sets], np.uint64))))
+                columns.append(pa.array([len(s) for s in sets], pa.int32()))
+                columns.append(pa.array(signed(np.array([majority_bits(s) for s in sets], np.uint64))))
+                columns.append(pa.array([parity(s) for s in sets], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fp", "n", "simhash", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(work, "doc_id bigint, text_hash bigint, fp bigint")
+    return rows.mapInArrow(work, "doc_id bigint, text_hash bigint, fp bigint, n int, simhash bigint, bits binary")
+
+
+def simhash_pairs(prints: DataFrame) -> DataFrame:
+    """``a, b`` (``a > b``): links of the sets whose SimHash fingerprints differ in at most three bits."""
+    sets = prints.select("simhash", "fp").distinct()
+    points = staged(sets.groupBy("simhash").agg(F.min("fp").alias("rep")), "near-points")
+    same = sets.join(points, "simhash").filter("fp > rep").select(F.col("fp").alias("a"), F.col("rep").alias("b"))
+    links = fingerprint_links(points.select(F.col("simhash").alias("fp"), "rep"))
+    return same.unionByName(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
 
 
 def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -138,39 +164,80 @@ def enough_shared(similarity: float) -> Column:
     return F.col("shared") + behind >= least_overlap(n, m, similarity)
 
 
-def met_pairs(now: DataFrame, similarity: float) -> DataFrame:
-    """``a, b`` (``a > b``) of texts of different components ``c`` that have enough first shingles in common.
+def met_pairs(now: DataFrame, similarity: float, most: int) -> DataFrame:
+    """``a, b, held`` (``a > b``) of texts of different components ``c`` that can be similar by the places of a
+    shingle that they share and by their bitmaps.
 
-    The rows of a shingle are dealt into blocks of about ``MET_BLOCK``; each pair of blocks is a group of its own.
+    The rows of a shingle are dealt into blocks of about ``MET_BLOCK``; each pair of blocks is a group of its own,
+    compared inside a task.  A group hands out at most ``most`` pairs of a component with those above it; ``held``
+    marks a row that only says that some were held back.
     """
     blocks = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("shingle")) / MET_BLOCK).cast("int")
     dealt = now.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("shingle", "fp", "size", "pos", "c", "own", F.least("own", "to").alias("low"), F.greatest("own", "to").alias("high"))
-    names = {"fp": "b", "size": "other_size", "pos": "other_pos", "c": "other_c", "own": "other_own"}
-    twin = dealt.select("shingle", "low", "high", *(F.col(k).alias(v) for k, v in names.items()))
-    once = (F.col("low") == F.col("high")) | (F.col("own") != F.col("other_own"))
-    met = dealt.join(twin, ["shingle", "low", "high"]).filter((F.col("fp") > F.col("b")) & (F.col("c") != F.col("other_c")) & once)
-    met = met.filter(may_be_similar(similarity)).groupBy(F.col("fp").alias("a"), "b", "size", "other_size").agg(F.count(F.lit(1)).alias("shared"))
-    return met.filter(enough_shared(similarity)).select("a", "b")
+    low, high = F.least("own", "to"), F.greatest("own", "to")
+    side = F.when(low == high, F.lit(-1)).otherwise(F.col("own"))
+    rows = dealt.select(F.xxhash64("shingle", low, high).alias("key"), "fp", "size", "pos", "c", side.alias("side"), "bits")
+    parts = max(1, int(now.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    grouped = rows.repartition(parts, "key").sortWithinPartitions("key")
+    return grouped.mapInArrow(_compare_groups(similarity, most), "a bigint, b bigint, held boolean")
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
-    counts = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
-    return np.packbits((counts & 1).astype(np.uint8))
+def _compare_groups(similarity: float, most: int):
+    names = ("key", "fp", "size", "pos", "c", "side")
 
-
-def likely_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` without those whose parity bitmaps (of each bit, whether an odd number of shingles falls on it)
-    differ in more bits than similar sets have shingles apart."""
-    most = (1 - similarity) / (1 + similarity)
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
         for batch in batches:
-            found = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("shingles")]
-            columns = [batch.column("fp"), pa.array([len(x) for x in found], pa.int32())]
-            columns.append(pa.array([parity(x).tobytes() for x in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["fp", "n", "bits"])
+            now = [batch.column(c).to_numpy() for c in names]
+            raw = b"".join(x.as_py() for x in batch.column("bits"))
+            now.append(np.frombuffer(raw, np.uint64).reshape(-1, PARITY_BITS // 64))
+            now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
+            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+            rest = [x[cut:] for x in now]
+            if cut:
+                yield _group_pairs(*[x[:cut] for x in now], similarity, most)
+        if rest is not None:
+            yield _group_pairs(*rest, similarity, most)
+
+    return work
+
+
+def _group_pairs(key, fp, size, pos, c, side, bits, similarity: float, most: int) -> pa.RecordBatch:
+    """Pairs of rows of equal key (rows come sorted by key) that pass the bounds; see ``met_pairs``."""
+    found, here, lag = [], np.arange(len(key)), 1
+    while len(here := here[here + lag < len(key)]):
+        here = here[key[here] == key[here + lag]]
+        i, j = here, here + lag
+        meet = (c[i] != c[j]) & (fp[i] != fp[j]) & ((side[i] < 0) | (side[i] != side[j]))
+        i, j = i[meet], j[meet]
+        n, m = size[i].astype(np.int64), size[j].astype(np.int64)
+        least = np.ceil((n + m) * (similarity / (1 + similarity)) - 1e-6)
+        share = np.minimum(pos[i], pos[j]) + np.minimum(n - pos[i], m - pos[j])
+        near = (share >= least) & (np.minimum(n, m) >= np.maximum(n, m) * similarity - 1e-9)
+        i, j = i[near], j[near]
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        near = apart <= (1 - similarity) / (1 + similarity) * (n + m)[near] + 1e-6
+        found.append(np.stack([i[near], j[near]]))
+        lag += 1
+    i, j = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+    low = np.minimum(c[i], c[j])
+    order = np.lexsort((low, key[i]))
+    i, j, low = i[order], j[order], low[order]
+    new = np.ones(len(i), dtype=bool)
+    new[1:] = (key[i][1:] != key[i][:-1]) | (low[1:] != low[:-1])
+    at = np.arange(len(i))
+    out = at - np.maximum.accumulate(np.where(new, at, 0)) < most
+    a, b = np.maximum(fp[i], fp[j])[out], np.minimum(fp[i], fp[j])[out]
+    held = np.zeros(len(a), dtype=bool)
+    if not out.all():
+        a, b, held = np.append(a, 0), np.append(b, 0), np.append(held, True)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(held)], names=["a", "b", "held"])
+
+
+def likely_pairs(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` without those whose parity bitmaps differ in more bits than similar sets have shingles apart."""
+    most = (1 - similarity) / (1 + similarity)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,9 +246,8 @@ def likely_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFr
                 good.append((int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= most * n + 1e-6)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    bits = sets.mapInArrow(sketch, "fp bigint, n int, bits binary")
-    left = bits.select(F.col("fp").alias("a"), F.col("bits").alias("left"), F.col("n").alias("m"))
-    right = bits.select(F.col("fp").alias("b"), F.col("bits").alias("right"), F.col("n").alias("o"))
+    left = sketches.select(F.col("fp").alias("a"), F.col("bits").alias("left"), F.col("n").alias("m"))
+    right = sketches.select(F.col("fp").alias("b"), F.col("bits").alias("right"), F.col("n").alias("o"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", (F.col("m") + F.col("o")).alias("n"))
     return both.mapInArrow(near, "a bigint, b bigint")
 
@@ -212,14 +278,14 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, similarity: float) -> Data
     sets = staged(texts.mapInArrow(work, "fp bigint, shingles binary").dropDuplicates(["fp"]), "near-sets")
     left = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("right"))
-    likely = likely_pairs(pairs, sets, similarity)
-    return likely.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(confirm, "a bigint, b bigint")
 
 
-def near_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_links(texts: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links ``a, b`` of set prints that connect all texts of at least this similarity."""
     parts = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     same = Window.partitionBy("shingle")
+    sketches = staged(prints.select("fp", "n", "bits").dropDuplicates(["fp"]), "near-sketches")
     rows = prefix_rows(texts, similarity).repartition(parts, "shingle").distinct()
     rows = rows.select("*", F.min(F.struct("fp", "size", "pos")).over(same).alias("head"), F.max("fp").over(same).alias("last"))
     met = staged(rows.filter(F.col("head.fp") < F.col("last")), "near-met")
@@ -227,13 +293,21 @@ def near_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.col("fp").alias("a"), F.col("head.fp").alias("b"), "size", "pos", F.col("head.size").alias("other_size"), F.col("head.pos").alias("other_pos")
     )
     counted = heads.filter(may_be_similar(similarity)).groupBy("a", "b", "size", "other_size").agg(F.count(F.lit(1)).alias("shared"))
-    first = staged(counted.filter(enough_shared(similarity)).select("a", "b"), "near-first")
+    first = counted.filter(enough_shared(similarity)).select("a", "b").unionByName(simhash_pairs(prints)).distinct()
+    first = staged(likely_pairs(first, sketches, similarity), "near-first")
     links = staged(similar_pairs(texts, first, similarity), "near-links")
-    known = components(links).withColumnRenamed("component", "known")
-    now = met.join(known, F.col("fp") == F.col("node"), "left").select("shingle", "fp", "size", "pos", F.coalesce("known", "fp").alias("c"))
-    now = now.select("*", F.min("c").over(same).alias("low"), F.max("c").over(same).alias("high")).filter("low < high")
-    rest = met_pairs(now.drop("low", "high"), similarity).join(first, ["a", "b"], "left_anti")
-    return links.unionByName(similar_pairs(texts, staged(rest, "near-rest"), similarity))
+    most = ROUND_PAIRS
+    while True:
+        known = components(links).withColumnRenamed("component", "known")
+        now = met.join(known, F.col("fp") == F.col("node"), "left").select("shingle", "fp", "size", "pos", F.coalesce("known", "fp").alias("c"))
+        now = now.select("*", F.min("c").over(same).alias("low"), F.max("c").over(same).alias("high")).filter("low < high")
+        now = now.drop("low", "high").join(sketches.select("fp", "bits"), "fp")
+        rest = staged(met_pairs(now, similarity, most), "near-rest")
+        pairs = staged(rest.filter("NOT held").select("a", "b").distinct(), "near-pairs")
+        links = staged(links.unionByName(similar_pairs(texts, pairs, similarity)), "near-links")
+        if rest.filter("held").isEmpty():
+            return links
+        most *= ROUND_GROWTH
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -246,7 +320,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         raise ValueError("similarity must be above 0 and at most 1")
     named = docs.filter("doc_id IS NOT NULL")
     prints = staged(set_prints(named), "near-prints")
-    groups = components(near_links(named.select("text"), similarity))
+    groups = components(near_links(named.select("text"), prints, similarity))
     prints = prints.join(groups, F.col("fp") == F.col("node"), "left").withColumn("group", F.coalesce("component", "fp"))
     stay = prints.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("s"))
     stay = stay.select(F.col("s.doc_id").alias("_stays"), F.col("s.text_hash").alias("_hash"))

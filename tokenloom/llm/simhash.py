@@ -32,6 +32,15 @@ GROUP_LIMIT = 2048
 BIT_ROWS = 1 << 16
 
 
+def majority_bits(values: np.ndarray) -> int:
+    """Bit ``i`` is set if it is set in over half the 64-bit values."""
+    counts = np.zeros(64, dtype=np.int64)
+    for i in range(0, len(values), BIT_ROWS):
+        bits = np.unpackbits(values[i : i + BIT_ROWS].view(np.uint8), bitorder="little").reshape(-1, 64)
+        counts += bits.sum(axis=0, dtype=np.int32)
+    return int(np.packbits(counts * 2 > len(values), bitorder="little").view(np.uint64)[0])
+
+
 def text_fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """Bit ``i`` is set if it is set in over half the XXH64 values of the text's word shingles."""
     words = text.lower().split()
@@ -49,11 +58,7 @@ def text_fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         (digest(joined[a:b], 42) for a, b in zip(starts, ends[width - 1 :], strict=False)),
         dtype=np.uint64, count=len(words) - width + 1,
     )
-    counts = np.zeros(64, dtype=np.int64)
-    for i in range(0, len(values), BIT_ROWS):
-        bits = np.unpackbits(values[i : i + BIT_ROWS].view(np.uint8), bitorder="little").reshape(-1, 64)
-        counts += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(counts * 2 > len(values), bitorder="little").view(np.uint64)[0])
+    return majority_bits(values)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -51,6 +51,32 @@ def test_training_takes_the_same_merges_as_one_by_one(spark, seed, letters):
     assert bpe.train_merges(state, 25, candidates=16, passes_per_checkpoint=3) == one_by_one(counts, 25)
 
 
+def test_training_writes_no_table_a_pass(spark, monkeypatch):
+    names, write = [], bpe.written
+    monkeypatch.setattr(bpe, "written", lambda df, name: names.append(name) or write(df, name))
+    df = spark.createDataFrame([(list("abcabcd"), 3), (list("abab"), 2), (list("ddd"), 5)], "symbols array<string>, cnt long")
+    merges = bpe.train_merges(df, 6)
+    assert len(merges) == 6 and names == ["bpe-symbols", "bpe-words"]
+
+
+def test_merges_in_one_array():
+    rng = random.Random(2)
+    words = [[rng.randrange(3) for _ in range(rng.randrange(1, 12))] for _ in range(200)]
+    merges = [(0, 0, 3), (3, 3, 4), (1, 2, 5), (5, 0, 6), (2, 2, 7)]
+    ids, word = np.concatenate(words), np.repeat(np.arange(200), list(map(len, words)))
+    got, of = bpe._merged(ids, word, merges)
+    for i, parts in enumerate(words):
+        for a, b, new in merges:
+            out = []
+            for x in parts:  # left to right, a merged symbol is not merged again by the same merge
+                if out and out[-1] == (a, False) and x == b:
+                    out[-1] = (new, True)
+                else:
+                    out.append((x, False))
+            parts = [x for x, _ in out]
+        assert got[of == i].tolist() == parts
+
+
 def test_byte_fallback(spark):
     df = spark.createDataFrame([("aé",)], "w string").select(bpe.initial_symbols(F.col("w"), ["a"]).alias("s"))
     assert df.first()[0] == ["a", "<0xC3>", "<0xA9>"]

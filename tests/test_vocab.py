@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,17 @@ def test_training_takes_the_same_merges_as_one_by_one(spark, seed, letters):
     assert bpe.train_merges(state, 25, candidates=16, passes_per_checkpoint=3) == one_by_one(counts, 25)
 
 
+def test_pairs_of_few_and_of_many_symbols_count_alike():
+    names = ["a", "b", "c"]
+    found = {}
+    rows = [([0, 1, 0, 1], 3), ([2], 9), ([], 1), ([1, 2, 0, 1], 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows])], names=["ids", "cnt"])
+    for size in (0, 1024):
+        out = list(bpe._count_pairs(iter([batch, batch]), [], names, size))[0].to_pylist()
+        found[size] = {(r["left"], r["right"]): r["cnt"] for r in out}
+    assert found[0] == found[1024] == {("a", "b"): 16, ("b", "a"): 6, ("b", "c"): 4, ("c", "a"): 4}
+
+
 def test_training_writes_no_table_a_pass(spark, monkeypatch):
     names, write = [], bpe.written
     monkeypatch.setattr(bpe, "written", lambda df, name: names.append(name) or write(df, name))

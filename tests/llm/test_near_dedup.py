@@ -1,6 +1,7 @@
 """The near-dedup stage against all pairs of texts."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -109,3 +110,46 @@ def test_fingerprints_bring_pairs(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert near_dedup.keep_one(no_docs(spark)).count() == 0
+
+
+def test_failed_pairs_are_not_fetched_again(spark, monkeypatch):
+    """Texts of 0.79 similarity pass the bitmaps round after round, but their sets travel once."""
+    counts = staged_rows(monkeypatch)
+    monkeypatch.setattr(near_dedup, "ROUND_PAIRS", 1)
+    monkeypatch.setattr(near_dedup, "ROUND_GROWTH", 2)
+    rng, rows = random.Random(12), []
+    base = words(rng, 300, 900).split()
+    for i in range(12):
+        rows.append((i, " ".join([*base, *words(rng, 40, 900).split()]), "", "", 1))
+    wanted = plain_kept(rows)
+    assert kept(spark, rows) == wanted and len(wanted) == 12
+    assert counts["near-fresh"] <= 12 * 11 // 2
+    assert counts["near-rest"] > counts["near-fresh"]
+
+
+def test_folded_bitmaps_are_those_of_fewer_bits():
+    rng = random.Random(3)
+    sets = [near_dedup.np.array(sorted(rng.sample(range(1 << 62), n)), near_dedup.np.uint64) for n in (0, 3, 300, 5000)]
+    for shingles in sets:
+        plain = bytearray(near_dedup.MET_BITS // 8)
+        for x in shingles.tolist():
+            at = x % near_dedup.MET_BITS
+            plain[at // 8] ^= 0x80 >> at % 8
+        assert near_dedup.folded(near_dedup.parity(shingles), len(plain)) == bytes(plain)
+    assert len(near_dedup.parity(sets[3])) == 4096
+
+
+def test_shuffle_files_go_with_the_written_table(spark):
+    def shuffle_mb():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i) for i in range(files.size())]
+        return sum(f.length() for f in names if f.getName().startswith("shuffle_")) / 1e6
+
+    before = shuffle_mb()
+    rows = spark.range(400_000).selectExpr("id", "md5(cast(id AS string)) AS x").repartition(4, "x")
+    assert near_dedup.staged(rows, "cleanup").count() == 400_000
+    for _ in range(50):  # the files go in the background
+        if shuffle_mb() < before + 1:
+            break
+        time.sleep(0.1)
+    assert shuffle_mb() < before + 1

@@ -9,8 +9,9 @@ Texts of equal sets are one row from the start.  First, SimHash fingerprints of
 bits apart are paired by the anchors of ``simhash``, and the rows of a shingle meet one of them; what the sets
 themselves confirm joins components.  Then all rows of a shingle that are in different components meet, block by
 block, inside a task: the place of a shingle in both orders bounds what two texts can share, and so do small
-bitmaps of the sets.  Sets travel only for pairs that pass all bounds.  A round hands out a bounded number of
+bitmaps of the sets, folded for the exchange and whole for the pairs that come out.  Sets travel only for pairs that pass all bounds.  A round hands out a bounded number of
 pairs of each component in a group; rounds go on, with joined components and a larger number, until none is held back.
+A pair that failed stays apart, and later rounds do not fetch its sets again.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ SAMPLE = 16
 OFTEN = 8
 LISTED = 1 << 17
 MET_BLOCK = 1024
-PARITY_BITS = 2048
+MET_BITS = 1024
+MOST_BITS = 1 << 16
 ROUND_PAIRS = 8
 ROUND_GROWTH = 64
 
@@ -64,11 +66,18 @@ def set_print(shingles: np.ndarray) -> int:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """Bitmap of a set: of each bit, whether an odd number of shingles falls on it."""
-    counts = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    """Bitmap of a set: of each bit, whether an odd number of shingles falls on it; at least four bits a shingle,
+    from ``MET_BITS`` to ``MOST_BITS``, in powers of two."""
+    size = min(MOST_BITS, max(MET_BITS, 1 << (4 * len(shingles)).bit_length()))
+    counts = np.bincount((shingles % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def folded(bits: bytes, size: int) -> bytes:
+    """The parity bitmap of the same set in ``size`` bytes: the exclusive or of its stretches of that length."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, size)).tobytes()
+
+
 def set_prints(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, fp, n, simhash, bits``: of the shingle set of every row a hash, the size, the SimHash
     fingerprint and the parity bitmap; null text counts as empty."""
@@ -168,12 +177,12 @@ def met_pairs(now: DataFrame, similarity: float, most: int) -> DataFrame:
     """``a, b, held`` (``a > b``) of texts of different components ``c`` that can be similar by the places of a
     shingle that they share and by their bitmaps.
 
-    The rows of a shingle are dealt into blocks of about ``MET_BLOCK``; each pair of blocks is a group of its own,
-    compared inside a task.  A group hands out at most ``most`` pairs of a component with those above it; ``held``
-    marks a row that only says that some were held back.
+    The ``n`` rows of a shingle are dealt into blocks of about ``MET_BLOCK``; each pair of blocks is a group of its
+    own, compared inside a task.  A group hands out at most ``most`` pairs of a component with those above it;
+    ``held`` marks a row that only says that some were held back.
     """
-    blocks = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("shingle")) / MET_BLOCK).cast("int")
-    dealt = now.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    dealt = now.withColumn("blocks", F.ceil(F.col("n") / MET_BLOCK).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "to"), F.greatest("own", "to")
     side = F.when(low == high, F.lit(-1)).otherwise(F.col("own"))
@@ -191,7 +200,7 @@ def _compare_groups(similarity: float, most: int):
         for batch in batches:
             now = [batch.column(c).to_numpy() for c in names]
             raw = b"".join(x.as_py() for x in batch.column("bits"))
-            now.append(np.frombuffer(raw, np.uint64).reshape(-1, PARITY_BITS // 64))
+            now.append(np.frombuffer(raw, np.uint64).reshape(-1, MET_BITS // 64))
             now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
             cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
             rest = [x[cut:] for x in now]
@@ -228,7 +237,7 @@ def _group_pairs(key, fp, size, pos, c, side, bits, similarity: float, most: int
     new[1:] = (key[i][1:] != key[i][:-1]) | (low[1:] != low[:-1])
     at = np.arange(len(i))
     out = at - np.maximum.accumulate(np.where(new, at, 0)) < most
-    a, b = np.maximum(fp[i], fp[j])[out], np.minimum(fp[i], fp[j])[out]
+    a, b = np.unique([np.maximum(fp[i], fp[j])[out], np.minimum(fp[i], fp[j])[out]], axis=1)
     held = np.zeros(len(a), dtype=bool)
     if not out.all():
         a, b, held = np.append(a, 0), np.append(b, 0), np.append(held, True)
@@ -243,7 +252,9 @@ def likely_pairs(pairs: DataFrame, sketches: DataFrame, similarity: float) -> Da
         for batch in batches:
             good = []
             for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "n")), strict=True):
-                good.append((int.from_bytes(x) ^ int.from_bytes(y)).bit_count() <= most * n + 1e-6)
+                size = min(len(x), len(y))
+                apart = int.from_bytes(folded(x, size)) ^ int.from_bytes(folded(y, size))
+                good.append(apart.bit_count() <= most * n + 1e-6)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = sketches.select(F.col("fp").alias("a"), F.col("bits").alias("left"), F.col("n").alias("m"))
@@ -252,6 +263,17 @@ def likely_pairs(pairs: DataFrame, sketches: DataFrame, similarity: float) -> Da
     return both.mapInArrow(near, "a bigint, b bigint")
 
 
+def small_sketches(sketches: DataFrame) -> DataFrame:
+    """``fp, bits`` with the bitmaps folded: they travel with every row of a shingle."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = pa.array([folded(x.as_py(), MET_BITS // 8) for x in batch.column("bits")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("fp"), bits], names=["fp", "bits"])
+
+    return sketches.select("fp", "bits").mapInArrow(fold, "fp bigint, bits binary")
+
+
 def similar_pairs(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The rows of ``pairs`` (``a, b``: prints) whose sets are similar enough, by the sets themselves."""
     ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp")))
@@ -296,15 +318,20 @@ def near_links(texts: DataFrame, prints: DataFrame, similarity: float = SIMILARI
     first = counted.filter(enough_shared(similarity)).select("a", "b").unionByName(simhash_pairs(prints)).distinct()
     first = staged(likely_pairs(first, sketches, similarity), "near-first")
     links = staged(similar_pairs(texts, first, similarity), "near-links")
-    most = ROUND_PAIRS
+    small = staged(small_sketches(sketches), "near-small")
+    tried, most = first, ROUND_PAIRS
     while True:
         known = components(links).withColumnRenamed("component", "known")
         now = met.join(known, F.col("fp") == F.col("node"), "left").select("shingle", "fp", "size", "pos", F.coalesce("known", "fp").alias("c"))
-        now = now.select("*", F.min("c").over(same).alias("low"), F.max("c").over(same).alias("high")).filter("low < high")
-        now = now.drop("low", "high").join(sketches.select("fp", "bits"), "fp")
+        ends = (F.min("c").over(same).alias("low"), F.max("c").over(same).alias("high"), F.count(F.lit(1)).over(same).alias("n"))
+        now = now.select("*", *ends).filter("low < high").drop("low", "high").join(small, "fp")
         rest = staged(met_pairs(now, similarity, most), "near-rest")
-        pairs = staged(rest.filter("NOT held").select("a", "b").distinct(), "near-pairs")
-        links = staged(links.unionByName(similar_pairs(texts, pairs, similarity)), "near-links")
+        fresh = rest.filter("NOT held").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        fresh = staged(fresh, "near-fresh")
+        tried = tried.unionByName(fresh)
+        pairs = staged(likely_pairs(fresh, sketches, similarity), "near-pairs")
+        if not pairs.isEmpty():
+            links = staged(links.unionByName(similar_pairs(texts, pairs, similarity)), "near-links")
         if rest.filter("held").isEmpty():
             return links
         most *= ROUND_GROWTH

@@ -135,3 +135,33 @@ def test_long_text_slices(spark):
     df = texts(spark, ["", "abc", "é" * 10])
     for r in df.select("text", tk.split_long_text(F.col("text"), 4).alias("p")).collect():
         assert "".join(r["p"]) == r["text"] and all(len(p) <= 4 for p in r["p"])
+
+
+@pytest.mark.parametrize("length,step,chunk,cut", [(9, 8, 1 << 19, 1 << 19), (5, 5, 7, 11), (40, 4, 1, 1), (3, 7, 16, 9)])
+def test_byte_windows_are_those_of_the_tokens(spark, monkeypatch, length, step, chunk, cut):
+    monkeypatch.setattr(pk, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(pk, "CUT_TOKENS", cut)
+    rng = random.Random(length)
+    words = ["", "a", "é", "\U0001f600 zero", "x" * 50, "line\nline", None]
+    rows = [(i, i % 3, rng.choice(words)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, shard int, text string").repartition(5)
+    got = pk.pack_text(df, "text", None, tk.byte_token_count(F.col("text")), "id", step, length - step + 1, ["shard"], step=step).collect()
+    for shard in range(3):
+        tokens = [[256, *t.encode(), 257] for _, s, t in rows if s == shard and t is not None]
+        assert {r["window_id"]: r["window"] for r in got if r["shard"] == shard} == sequential_windows(tokens, length, step)
+
+
+def test_byte_windows_go_on_behind_held_pieces(spark):
+    fresh = spark.createDataFrame([(0, 5, "abcdefgh"), (1, 0, "xyz")], "shard int, s long, text string")
+    held = spark.createDataFrame([(0, 2, [7, 8, 9]), (2, 0, [1])], "shard int, s long, t array<int>")
+    got = {(r["shard"], r["window_id"]): r["window"] for r in pk.cut_byte_windows(fresh, "text", "s", 6, 2, ["shard"], held).collect()}
+    stream = [7, 8, 9, 256, *b"abcdefgh", 257]
+    wanted = {(0, k): stream[2 * k - 2 : 2 * k + 4] for k in range(1, 5)}
+    assert {k: v for k, v in got.items() if k[0] == 0} == wanted
+    assert not any(k[0] == 2 for k in got)
+
+
+def test_packing_queries_build_no_token_arrays_of_whole_texts(spark):
+    df = spark.createDataFrame([(1, "text")], "id long, text string")
+    plan = pk.pack_text(df, "text", None, tk.byte_token_count(F.col("text")), "id", 4, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ascii" not in plan

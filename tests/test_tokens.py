@@ -165,3 +165,13 @@ def test_packing_queries_build_no_token_arrays_of_whole_texts(spark):
     df = spark.createDataFrame([(1, "text")], "id long, text string")
     plan = pk.pack_text(df, "text", None, tk.byte_token_count(F.col("text")), "id", 4, 2)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "ascii" not in plan
+
+
+def test_window_sums_are_those_of_the_expressions(spark):
+    from tokenloom.functions import arrays as ar
+
+    rows = [([5, 6, 7],), ([],), (None,), ([257] * 300,)]
+    df = spark.createDataFrame(rows, "t array<int>").repartition(1)
+    t = F.col("t")
+    for r in df.select(ar.window_sum(t), ar.array_sum(t), ar.window_checksum(t), ar.checksum(t)).collect():
+        assert r[0] == r[1] and r[2] == r[3]

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom.plans import corpus, streams
 from tokenloom.sources import jsonl, named_files
 from tokenloom.streaming import jobs
 
@@ -125,3 +126,13 @@ def test_a_file_in_two_places_is_an_error(spark, tmp_path):
     messages = [named_files.WrittenFiles([("a", "x", 1)]), named_files.WrittenFiles([("a", "y", 1)])]
     with pytest.raises(ValueError):
         writer.commit(messages)
+
+
+@pytest.mark.parametrize("module, query, lines_in", [(streams, "stream_jsonl_resumable", "run/in"), (corpus, "scan_auto_format", "run")])
+def test_lines_are_written_by_a_task_for_each_split(spark, tmp_path, monkeypatch, small_splits, module, query, lines_in):
+    table = spark.range(240).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(12)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(module, "scratch_path", lambda spark, name: str(tmp_path / "run"))
+    rows = getattr(module, query)(spark, str(tmp_path)).collect()
+    assert sorted(r.text for r in rows) == sorted(f"text {i}" for i in range(240))
+    assert len(list((tmp_path / lines_in).glob("part-*.json"))) == 12

@@ -136,3 +136,22 @@ def test_lines_are_written_by_a_task_for_each_split(spark, tmp_path, monkeypatch
     rows = getattr(module, query)(spark, str(tmp_path)).collect()
     assert sorted(r.text for r in rows) == sorted(f"text {i}" for i in range(240))
     assert len(list((tmp_path / lines_in).glob("part-*.json"))) == 12
+
+
+def test_only_what_is_wanted_of_a_line_goes_through_python(spark, tmp_path, monkeypatch, small_splits):
+    plain = jsonl._numbered_in_split
+
+    def checked(batches):
+        for batch in plain(batches):
+            if batch.schema.field("value").type != "int64":
+                raise TypeError(f"{batch.schema.field('value').type} instead of an id")
+            yield batch
+
+    table = spark.range(90).selectExpr("id AS doc_id", "repeat('é', cast(id as int)) AS text", "concat('s', id % 2) AS source", "'en' AS lang")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(jsonl, "_numbered_in_split", checked)
+    for query in (corpus.scan_validation_shards, corpus.sink_round_robin_chunks, corpus.scan_jsonl_strided, corpus.sink_first_n_docs):
+        assert query(spark, str(tmp_path)).filter("doc_id IS NOT NULL").count() in (60, 90)
+    assert sum(r.n_records for r in corpus.sink_text_shards(spark, str(tmp_path)).collect()) == 90
+    rows = corpus.scan_validation_shards(spark, str(tmp_path)).collect()
+    assert sorted((r.source, r.step, r.doc_id) for r in rows) == [(f"s{k}", i, 2 * i + k) for k in range(2) for i in range(30)]

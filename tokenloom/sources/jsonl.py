@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-LINE_FIELDS = "value string, file string, block bigint, line_in bigint, end_in bigint"
+LINE_FIELDS = "file string, block bigint, line_in bigint, end_in bigint"
 STREAM_FIELDS = "value string, file string, position bigint, current_iter int"
 PIECE = 1 << 20
 TAIL = 1 << 16
@@ -61,12 +62,15 @@ def folder_of(file: Column) -> Column:
     return F.regexp_extract(file, "^(.*)/[^/]*$", 1)
 
 
-def numbered_lines(spark: SparkSession, path: str, shard: Column | None = None, pattern: str = "*") -> DataFrame:
+def numbered_lines(
+    spark: SparkSession, path: str, shard: Column | None = None, pattern: str = "*", value: Column | None = None
+) -> DataFrame:
     """``value, file, shard, line_no, position``: every line with its number in the shard from 0 and the byte behind it in its file.
 
     ``shard`` is an expression over ``file`` (default: its folder); the files of a shard follow one another
     by name.  A last line without a line feed counts as if it had one.  Files below ``path`` that match
-    ``pattern`` are read; empty files have no lines.
+    ``pattern`` are read; empty files have no lines.  ``value`` is what is wanted of a line, an expression over
+    it (default: the line): nothing else of it goes through Python.
     """
     shard = folder_of(F.col("file")) if shard is None else shard
     lines = _split_lines(spark, path, pattern)
@@ -79,7 +83,9 @@ def numbered_lines(spark: SparkSession, path: str, shard: Column | None = None,
         F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("first_line"),
         F.coalesce(F.sum("bytes").over(in_file), F.lit(0)).alias("first_byte"),
     )
-    placed = lines.withColumn("n_bytes", n_bytes).mapInArrow(_numbered_in_split, LINE_FIELDS).join(based, ["file", "block"])
+    wanted = lines.select((F.col("value") if value is None else value).alias("value"), "file", "block", n_bytes.alias("n_bytes"))
+    fields = T.StructType([T.StructField("value", wanted.schema["value"].dataType), *T.StructType.fromDDL(LINE_FIELDS)])
+    placed = wanted.mapInArrow(_numbered_in_split, fields).join(based, ["file", "block"])
     number, position = F.col("first_line") + F.col("line_in"), F.col("first_byte") + F.col("end_in")
     return placed.select("value", "file", "shard", number.alias("line_no"), position.alias("position"))
 
@@ -94,17 +100,24 @@ def strided(lines: DataFrame, block_size: int, offset: int | None = None) -> Dat
     return dealt if offset is None else dealt.filter(F.col("offset") == offset)
 
 
+def json_field(name: str, kind: str) -> Column:
+    """One field of a line's JSON object, as a ``value`` of ``numbered_lines``."""
+    return F.from_json("value", f"{name} {kind}")[name]
+
+
 def parsed(lines: DataFrame, schema: str) -> DataFrame:
     """The lines with the fields of their JSON objects in place of ``value``."""
     others = [c for c in lines.columns if c != "value"]
     return lines.withColumn("_json", F.from_json("value", schema)).select("_json.*", *others)
 
 
-def validation_lines(spark: SparkSession, path: str, max_steps: int | None, pattern: str = "*.val.jsonl") -> DataFrame:
+def validation_lines(
+    spark: SparkSession, path: str, max_steps: int | None, pattern: str = "*.val.jsonl", value: Column | None = None
+) -> DataFrame:
     """``value, source, step, current_iter``: one pass over the validation files of each source (a folder
-    directly below ``path``), at most ``max_steps`` lines of each."""
+    directly below ``path``), at most ``max_steps`` lines of each; ``value`` as in ``numbered_lines``."""
     source = F.regexp_extract(F.col("file"), "^.*/([^/]+)/[^/]*$", 1)
-    lines = numbered_lines(spark, path, source, pattern)
+    lines = numbered_lines(spark, path, source, pattern, value)
     rows = lines.select("value", F.col("shard").alias("source"), F.col("line_no").alias("step"), F.lit(0).alias("current_iter"))
     return rows if max_steps is None else rows.filter(F.col("step") < max_steps)
 

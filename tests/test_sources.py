@@ -2,8 +2,10 @@
 
 import json
 import random
+import tracemalloc
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +157,21 @@ def test_only_what_is_wanted_of_a_line_goes_through_python(spark, tmp_path, monk
     assert sum(r.n_records for r in corpus.sink_text_shards(spark, str(tmp_path)).collect()) == 90
     rows = corpus.scan_validation_shards(spark, str(tmp_path)).collect()
     assert sorted((r.source, r.step, r.doc_id) for r in rows) == [(f"s{k}", i, 2 * i + k) for k in range(2) for i in range(30)]
+
+
+def test_a_batch_is_written_in_bounded_pieces(tmp_path):
+    values = [None, "é" * (3 << 20), "", *(f"{i}-" + "x" * 65_000 for i in range(400))]
+    names = ["a/0", "a/0", *["a/1"] * 300, *["b"] * 101]
+    batch = pa.RecordBatch.from_arrays([pa.array(names), pa.array(values)], names=["file", "value"])
+    writer = named_files.NamedFilesWriter({"path": str(tmp_path)})
+    tracemalloc.start()
+    try:
+        done = writer.write(iter([batch.slice(0, 7), batch.slice(7)]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [(f[0], f[2]) for f in done.files] == [("a/0", 2), ("a/1", 300), ("b", 101)]
+    for name, place, _ in done.files:
+        wanted = [v or "" for n, v in zip(names, values, strict=True) if n == name]
+        assert Path(place).read_bytes().decode().split("\n") == [*wanted, ""]
+    assert most < 24 << 20  # the longest record has 6 MB, all of them 32

@@ -13,13 +13,16 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 HIDDEN = "_written"
+PIECE = 1 << 20  # bytes of records that become Python objects at a time
 
 
 @dataclass
@@ -40,8 +43,9 @@ class NamedFilesWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
         base, done, name, out, n = f"{self.folder}/{HIDDEN}/{uuid.uuid4().hex}", [], None, None, 0
         for batch in iterator:
-            names, values = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
-            starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
+            names, values = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).fill_null(b"")
+            piece = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False), dtype=np.int64) // PIECE
+            starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1] or piece[i] != piece[i - 1]]
             for a, b in zip(starts, [*starts[1:], len(names)], strict=True):
                 if names[a] != name:
                     if out is not None:
@@ -50,7 +54,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
                     name, n = names[a], 0
                     self.system.create_dir(posixpath.dirname(f"{base}/{name}"))
                     out = self.system.open_output_stream(f"{base}/{name}")
-                out.write(b"".join(v + self.end for v in values[a:b]))
+                out.write(b"".join(v + self.end for v in values.slice(a, b - a).to_pylist()))
                 n += b - a
         if out is not None:
             out.close()

@@ -1,6 +1,7 @@
 """Fingerprints, anchors and components against plain versions."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -62,6 +63,30 @@ def test_near_links_and_blocks(spark):
         assert all(found.get(i, i) == wanted[p] for i, p in points)
 
 
+def ran_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_copies_and_repeated_rows_are_not_broadcast(spark, tmp_path):
+    """Both come from files far smaller than their rows, below a threshold that the rows exceed."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "200000")
+        pairs = spark.range(1500).selectExpr("id", "xxhash64(id) AS fp")
+        points = pairs.selectExpr("fp", "id AS rep").unionByName(pairs.selectExpr("fp ^ 5 AS fp", "id + 1500 AS rep"))
+        points.write.parquet(str(tmp_path / "points"))
+        links = simhash.near_links(spark.read.parquet(str(tmp_path / "points")))
+        assert {(min(r), max(r)) for r in links.collect()} == {(i, i + 1500) for i in range(1500)}
+        assert "BroadcastHashJoin" not in ran_plan(links)
+        docs = spark.range(30_000).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text")
+        found = simhash.near_duplicates(docs.unionByName(docs.selectExpr("CAST(NULL AS bigint) AS doc_id", "text")))
+        assert Counter((r.fp, r.component_id) for r in found.collect()) == {(0, 0): 60_000}
+        assert re.search(r"SortMergeJoin(\(skew=true\))? \[fp#\d+L\], \[of#", ran_plan(found))
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_components_of_a_chain_and_loops(spark):
     chain = [(i, i + 1) for i in range(40)] + [(7, 7), (100, 101), (101, 100)]
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()))

@@ -178,7 +178,8 @@ def near_links(points: DataFrame, max_bits: int = MAX_BITS, group_limit: int = G
     rows = points.filter("rep IS NOT NULL").mapInArrow(_to_anchors, "anchor bigint, fp bigint, rep bigint")
     counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     counts = counts.select(F.col("anchor").alias("of"), F.ceil(F.col("n") / group_limit).cast("int").alias("blocks"))
-    met = rows.join(counts, F.col("anchor") == F.col("of")).withColumn(
+    # Spark sizes the copies as if each point had one row, and would broadcast up to 32 times as many.
+    met = rows.join(counts.hint("merge"), F.col("anchor") == F.col("of")).withColumn(
         "own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     )
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -201,7 +202,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     groups = components(near_links(points, max_bits))
     named = points.join(groups, F.col("rep") == F.col("node"), "left")
     named = named.select(F.col("fp").alias("of"), F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, F.col("fp") == F.col("of")).select("doc_id", "text_hash", "fp", "component_id")
+    # Files of repeated rows are small, and Spark would broadcast the rows for it.
+    found = prints.join(named.hint("merge"), F.col("fp") == F.col("of"))
+    return found.select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
